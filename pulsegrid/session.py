@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,10 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and go on from reliable storage.
+    """Write ``df`` to a table in the shared folder and go on from that table.
 
-    Used where several later jobs read the same rows (training set, scores), so that neither
-    the second reader nor a lost executor repeats the work before it.
+    Used where several later jobs read the same rows (training set, node table, scores), so
+    that neither the second reader nor a lost executor repeats the work before it. A written
+    table also tells the optimizer its true size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
