@@ -120,3 +120,10 @@ def spine(events: DataFrame, windows: Sliding) -> DataFrame:
     return services.select("service_name", F.explode(slots).alias("slot")).select(
         "service_name", F.timestamp_micros("slot").alias("window_end")
     )
+
+
+def latest_window(events: DataFrame, windows: Sliding) -> DataFrame:
+    """Events of the window that ends at the first grid point at or after the newest event."""
+    end = events.agg(F.max("ts").alias("newest")).select(first_end(F.col("newest"), windows))
+    start = F.timestamp_micros(F.unix_micros(end.scalar()) - F.lit(windows.width))
+    return events.filter(F.col("ts") >= start)

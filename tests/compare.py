@@ -1,0 +1,59 @@
+"""Compare a query with its SQL on the same tables, value by value."""
+
+from __future__ import annotations
+
+import math
+import os
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        path = Path(sf_dir) / f"{table}.parquet"
+        if path.exists():
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _cell(value: object) -> object:
+    if value is None or value is pd.NaT:
+        return None
+    if isinstance(value, float):
+        return None if math.isnan(value) else value
+    if hasattr(value, "item"):
+        return _cell(value.item())
+    return value
+
+
+def rows_of(columns: list[str], rows: list) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(
+        (tuple(_cell(row[i]) for i in order) for row in rows), key=lambda r: tuple(map(repr, r))
+    )
+
+
+def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    got = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    want = rows_of(names, result.fetchall())
+    found = []
+    if sorted(names) != sorted(spark_df.columns):
+        found.append(f"columns {sorted(spark_df.columns)} != {sorted(names)}")
+    if len(got) != len(want):
+        found.append(f"{len(got)} rows, not {len(want)}")
+    if not want:
+        found.append("no rows")
+    bad = [(g, w) for g, w in zip(got, want) if g != w]
+    if bad:
+        found.append(f"{len(bad)} rows differ, first {bad[0]}")
+    return found
