@@ -40,8 +40,10 @@ def _cells_holding_ranks(
 ) -> DataFrame:
     """The cell of each (window, percent) that holds the wanted rank, and the rank within it."""
     cells = to_windows(histogram, windows).groupBy(*WINDOW, "cell").agg(F.sum("n").alias("n"))
-    counted = cells.withColumn("upto", _running(WINDOW, "cell")).withColumn(
-        "total", F.sum("n").over(Window.partitionBy(*WINDOW))
+    ordered = Window.partitionBy(*WINDOW).orderBy("cell")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = cells.select(
+        "*", _running(WINDOW, "cell").alias("upto"), F.sum("n").over(whole).alias("total")
     )
     below = F.col("upto") - F.col("n")
     ranks = {p: nearest_rank(p, F.col("total")) for p in percents}

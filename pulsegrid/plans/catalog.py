@@ -17,9 +17,13 @@ from pulsegrid.operators import windows as wn
 from pulsegrid.plans import reports, training
 from pulsegrid.session import cut, prepare, shared_dir
 from pulsegrid.sources import events as ev, sinks
-from pulsegrid.sources.adapter import read_logs
+from pulsegrid.sources.adapter import as_log_events, read_logs
+from pulsegrid.sources.schema import EVENTS_TABLE
+from pulsegrid.streaming import live
 
 WINDOWS = wn.Sliding(6 * 3600, 2 * 3600)
+SHORT_WINDOWS = wn.Sliding(1800, 600)
+DELAY_SECONDS = 3600
 SEED = 42
 #: Spans of injected anomalies: service, start, stop, mode.
 SPANS = (
@@ -227,6 +231,28 @@ def w9_pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(wn.window_counts(read_logs(spark, sf_dir), WINDOWS))
 
 
+def _live_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replay = live.stream_table(spark, f"{sf_dir}/event[s].parquet", EVENTS_TABLE)
+    return as_log_events(replay)
+
+
+def w4_stream_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silent windows found by the stateful stream; short windows, so that there are some."""
+    path = fresh_path(spark, "silence")
+    query = live.run_silence(
+        _live_logs(spark, sf_dir), SHORT_WINDOWS, DELAY_SECONDS, path
+    )
+    query.awaitTermination()
+    return plain(spark.read.parquet(f"{path}/silent"))
+
+
+def w5_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of all closed windows, written by the stream."""
+    path = fresh_path(spark, "live")
+    live.run_live(_live_logs(spark, sf_dir), WINDOWS, DELAY_SECONDS, path).awaitTermination()
+    return plain(rounded(live.read_metrics(spark, path)))
+
+
 # -- features
 
 
@@ -388,6 +414,8 @@ def all_queries() -> dict[str, Query]:
         "w1_window_counts": w1_window_counts,
         "w3_window_grid": w3_window_grid,
         "w4_spine_features": w4_spine_features,
+        "w4_stream_silence": w4_stream_silence,
+        "w5_stream_parity": w5_stream_parity,
         "w9_pane_counts": w9_pane_counts,
         "a1_request_count": a_columns("request_count"),
         "a2_error_rate": a_columns("error_rate"),

@@ -9,7 +9,16 @@ from __future__ import annotations
 from pulsegrid.operators.features import FEATURES
 from pulsegrid.operators.forest import EULER_GAMMA, ForestParams, height_limit
 from pulsegrid.operators.inject import BURST_CODES, UNUSUAL_CODES
-from pulsegrid.plans.catalog import RANGE, RETENTION_SECONDS, SEED, SPANS, WINDOWS
+from pulsegrid.operators.windows import Sliding
+from pulsegrid.plans.catalog import (
+    DELAY_SECONDS,
+    RANGE,
+    RETENTION_SECONDS,
+    SEED,
+    SHORT_WINDOWS,
+    SPANS,
+    WINDOWS,
+)
 from pulsegrid.plans.training import N_SAMPLES
 from pulsegrid.sources.schema import SERVICE_PROFILES
 
@@ -42,12 +51,19 @@ LOGS = """logs AS MATERIALIZED (
   FROM events)"""
 
 
-def _windows(logs: str, name: str) -> str:
+def _windows(logs: str, name: str, windows: Sliding = WINDOWS) -> str:
+    width, slide = windows.width, windows.slide
     return f"""{name} AS MATERIALIZED (
   SELECT * FROM (
-    SELECT l.*, ((us + {S - 1}) // {S}) * {S} + i * {S} AS e
-    FROM {logs} l, range(0, {W // S + 1}) t(i))
-  WHERE e - {W} <= us)"""
+    SELECT l.*, ((us + {slide - 1}) // {slide}) * {slide} + i * {slide} AS e
+    FROM {logs} l, range(0, {width // slide + 1}) t(i))
+  WHERE e - {width} <= us)"""
+
+
+def _closed(wins: str, windows: Sliding) -> str:
+    """Ends the watermark has passed when all events are read."""
+    held_back = windows.width + DELAY_SECONDS * 1_000_000
+    return f"(SELECT max(e) - {held_back} FROM {wins})"
 
 
 def _features(wins: str, name: str) -> str:
@@ -352,6 +368,22 @@ FROM logs""",
         ),
         "w3_window_grid": _sql(_SPINED, f"SELECT {KEY} FROM spinef_ends"),
         "w4_spine_features": _sql(_SPINED, f"SELECT {KEY}, {ROUNDED} FROM spinef"),
+        "w4_stream_silence": _sql(
+            [
+                LOGS,
+                _windows("logs", "short", SHORT_WINDOWS),
+                "ends AS (SELECT service_name, unnest(generate_series(min(e), "
+                f"{_closed('short', SHORT_WINDOWS)}, {SHORT_WINDOWS.slide})) AS e "
+                "FROM short GROUP BY service_name)",
+            ],
+            f"SELECT {KEY}, "
+            + ", ".join(f"0::DOUBLE AS {c}" for c in FEATURES)
+            + " FROM ends WHERE (service_name, e) NOT IN (SELECT (service_name, e) FROM short)",
+        ),
+        "w5_stream_parity": _sql(
+            _FEATURED,
+            f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",
+        ),
         "w9_pane_counts": _sql(
             _FEATURED[:2],
             f"SELECT {KEY}, count(*) AS n, count(*) FILTER (status_code >= 500) AS errors "
