@@ -1,0 +1,183 @@
+"""Decoding, encoding, archive, retention, injection and reports on small tables."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from logs import log_table
+from pyspark.sql import functions as F
+
+from pulsegrid.operators import inject as inj
+from pulsegrid.operators.windows import Sliding
+from pulsegrid.plans import reports
+from pulsegrid.sources import events as ev
+from pulsegrid.sources.schema import LOG_EVENT
+
+GOOD = {
+    "timestamp": 1700000000.123456,
+    "service_name": "auth-service",
+    "status_code": 200,
+    "latency_ms": 80.125,
+    "message": "m",
+    "region": "us-east-1",
+    "anomaly_mode": "normal",
+}
+
+
+def messages(spark, *bodies):
+    texts = [b if isinstance(b, str) else json.dumps(b) for b in bodies]
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def without(name):
+    return {k: v for k, v in GOOD.items() if k != name}
+
+
+def test_decode(spark):
+    bodies = [GOOD, "{bad", {**GOOD, "status_code": "oops"}, without("service_name")]
+    bodies += [without("latency_ms"), without("timestamp"), "", "[]", {**GOOD, "extra": [1]}]
+    decoded = ev.decode(messages(spark, *bodies))
+    good = ev.usable(decoded).collect()
+    assert [r.service_name for r in good] == ["auth-service", "unknown", "auth-service"]
+    assert good[0].ts.timestamp() == pytest.approx(1700000000.123456, abs=1e-6)
+    assert good[0].latency_ms == 80.125
+    assert ev.quarantined(decoded).count() == 6
+
+
+def test_decode_keeps_both_sides_whole(spark):
+    decoded = ev.decode(messages(spark, GOOD, "{bad").unionByName(messages(spark, GOOD)))
+    assert ev.usable(decoded).count() + ev.quarantined(decoded).count() == 3
+
+
+def test_encode_round_trip(spark):
+    events = ev.usable(ev.decode(messages(spark, GOOD)))
+    sent = ev.encode(events)
+    row = sent.first()
+    assert bytes(row.key) == b"auth-service"
+    assert json.loads(bytes(row.value)) == GOOD
+    assert set(json.loads(bytes(row.value))) == {f.name for f in LOG_EVENT}
+
+
+def test_topic_options():
+    options = ev.topic_options("b:9092", "logs.raw")
+    assert options["subscribe"] == "logs.raw" and options["startingOffsets"] == "latest"
+    assert ev.topic_options("b:9092", "logs.raw", "earliest")["startingOffsets"] == "earliest"
+    with pytest.raises(ValueError):
+        ev.topic_options("b:9092", "logs.raw", "middle")
+    sink = ev.topic_sink_options("b:9092", "logs.raw")
+    assert sink["kafka.acks"] == "all" and sink["kafka.retries"] == "5"
+
+
+def test_archive_reads_only_the_days_asked_for(spark, tmp_path):
+    day = 86_400.0
+    logs = log_table(spark, [(i * day / 4, f"s{i % 2}", 200, 1.0) for i in range(1, 41)])
+    ev.write_archive(logs, str(tmp_path))
+    archive = ev.read_archive(spark, str(tmp_path))
+    some = ev.time_range(archive, "1970-01-03 06:00:00", "1970-01-05 00:00:00")
+    assert sorted(r[0] for r in some.select(F.unix_seconds("ts") / day).collect()) == [
+        2.25, 2.5, 2.75, 3.0, 3.25, 3.5, 3.75,
+    ]
+    plan = some.select("ts", "status_code")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "latency_ms" not in plan
+    files = some.select(F.input_file_name()).distinct().count()
+    assert files < archive.select(F.input_file_name()).distinct().count()
+
+
+def test_retention(spark):
+    logs = log_table(spark, [(float(t), "s", 200, 1.0) for t in (0, 100, 101, 200)])
+    assert ev.retained(logs, 100).count() == 3
+
+
+def injected(spark, mode, rows=4000):
+    base = spark.range(rows).select(
+        F.col("id").alias("event_id"),
+        F.lit(200).alias("status_code"),
+        F.lit(10.0).alias("latency_ms"),
+        F.lit(None).cast("string").alias("anomaly_mode"),
+    )
+    return inj.inject(base, mode)
+
+
+def test_latency_spike(spark):
+    low, high, codes = injected(spark, " Latency_Spike ").agg(
+        F.min("latency_ms"), F.max("latency_ms"), F.countDistinct("status_code")
+    ).first()
+    assert 200 <= low < 205 and 395 < high <= 400 and codes == 1
+
+
+@pytest.mark.parametrize(
+    "mode, codes, share",
+    [("error_burst", inj.BURST_CODES, 0.8), ("unusual_status", inj.UNUSUAL_CODES, 0.7)],
+)
+def test_status_modes(spark, mode, codes, share):
+    counts = {r[0]: r[1] for r in injected(spark, mode).groupBy("status_code").count().collect()}
+    assert set(counts) == {200, *codes}
+    for code in codes:
+        assert counts[code] / 4000 == pytest.approx(share / len(codes), abs=0.025)
+
+
+def test_normal_mode_changes_nothing(spark):
+    rows = injected(spark, "").select("status_code", "latency_ms", "anomaly_mode").distinct()
+    assert rows.collect() == [(200, 10.0, "normal")]
+
+
+def test_span_bounds(spark):
+    logs = log_table(spark, [(float(t), s, 200, 1.0) for t in range(0, 9000, 600) for s in "ab"])
+    logs = logs.withColumns(
+        {"event_id": F.monotonically_increasing_id(), "anomaly_mode": F.lit("normal")}
+    )
+    spans = spark.createDataFrame([("a", 1200, 7200, "error_burst")], "service_name string, f long, t long, mode string").select(
+        "service_name", F.timestamp_seconds("f").alias("start"), F.timestamp_seconds("t").alias("stop"), "mode"
+    )
+    rows = inj.inject_spans(logs, spans)
+    assert rows.count() == logs.count()
+    hit = rows.filter("anomaly_mode = 'error_burst'").select("service_name", F.unix_seconds("ts"))
+    assert sorted(map(tuple, hit.collect())) == [("a", t) for t in range(1200, 7200, 600)]
+    same = rows.filter("anomaly_mode = 'normal'").filter("status_code = 200 AND latency_ms = 1.0")
+    assert same.count() == logs.count() - 10
+
+
+def scores(spark, values):
+    rows = [("s", 10 * i, v) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "service_name string, e long, anomaly_score double").select(
+        "service_name", F.timestamp_seconds("e").alias("window_end"), "anomaly_score",
+        (F.col("anomaly_score") < 0).alias("is_anomalous"),
+    )
+
+
+def test_alert_edges(spark):
+    scored = scores(spark, [-0.1, -0.2, 0.1, -0.1, 0.2, 0.3, -0.1, -0.3])
+    edges = reports.alert_edges(scored, Sliding())
+    assert sorted(r[0] for r in edges.select(F.unix_seconds("window_end")).collect()) == [0, 30, 60]
+
+
+def test_detection_delay(spark):
+    scored = scores(spark, [0.1] * 5 + [-0.1] * 2)
+    spans = spark.createDataFrame(
+        [("s", 25, 45, "m"), ("s", 0, 1, "n"), ("other", 0, 1, "m")],
+        "service_name string, f long, t long, mode string",
+    ).select("service_name", "mode", F.timestamp_seconds("f").alias("start"), F.timestamp_seconds("t").alias("stop"))
+    rows = reports.detection_delay(scored, spans, Sliding()).collect()
+    assert {(r.service_name, r.mode): r.delay_seconds for r in rows} == {
+        ("s", "m"): 25.0, ("s", "n"): None, ("other", "m"): None,
+    }
+
+
+def test_confusion(spark):
+    scored = scores(spark, [-0.1, 0.1, -0.1, 0.1, 0.1])
+    modes = scored.select(
+        "service_name", "window_end",
+        F.when(F.unix_seconds("window_end") < 20, "error_burst").otherwise("normal").alias("anomaly_mode"),
+    )
+    row = reports.confusion(scored, modes).first()
+    assert (row.true_positives, row.false_negatives, row.false_positives, row.true_negatives) == (1, 1, 1, 2)
+    assert row.recall == 0.5 and row.false_positive_rate == pytest.approx(1 / 3)
+
+
+def test_profile_drift_shows_missing_services(spark):
+    logs = log_table(spark, [(float(t), "auth-service", 200, 1.0) for t in range(11)])
+    rows = {r.service_name: r for r in reports.profile_drift(logs, ev.service_profiles(spark)).collect()}
+    assert rows["auth-service"].observed_per_second == pytest.approx(1.1)
+    assert rows["payments-service"].observed_per_second is None
+    assert len(rows) == 3
