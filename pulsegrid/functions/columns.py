@@ -25,6 +25,11 @@ def iso_stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def settle_sql(value: str, digits: int = FEATURE_DIGITS) -> str:
+    """SQL text of :func:`settle`."""
+    return f"(bround({value}, {digits}) + 0.0D)"
+
+
 def settle(value: Column, digits: int = FEATURE_DIGITS) -> Column:
     """Round half-even and turn a negative zero into zero."""
     return F.bround(value, digits) + F.lit(0.0)
@@ -35,30 +40,30 @@ def mode_label(mode: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(F.trim(mode)), F.lit("")), F.lit("normal"))
 
 
-def uniform(*tag: Column | str | int) -> Column:
+def uniform_sql(*tag: object) -> str:
+    """SQL text of :func:`uniform`."""
+    text = f"concat_ws('|', {', '.join(map(str, tag))})"
+    return f"(double(bigint(conv(substring(md5({text}), 1, 13), 16, 10))) / {float(2**52)!r}D)"
+
+
+def uniform(*tag: object) -> Column:
     """A uniform number in [0, 1) that depends only on the tag: 52 bits of its MD5.
 
     Unlike ``rand`` it is the same on every run, plan and partitioning, so a retried task
-    draws what the lost one drew. String arguments are literals.
+    draws what the lost one drew. The parts of a tag are numbers or SQL expressions.
     """
-    parts = [(part if isinstance(part, Column) else F.lit(part)).cast("string") for part in tag]
-    digest = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(
-        float(2**52)
-    )
+    return F.expr(uniform_sql(*tag))
 
 
-def nearest_rank(percent: float, count: Column) -> Column:
+def nearest_rank_sql(percent: float, count: str) -> str:
     """1-based rank of the nearest-rank percentile among ``count`` sorted values."""
-    return F.greatest(F.lit(1), F.ceil(F.lit(percent / 100.0) * count)).cast("bigint")
+    return f"greatest(1L, ceil({percent / 100.0!r}D * {count}))"
 
 
-def value_grid(value: Column, cells_per_e_fold: int) -> Column:
+def value_grid_sql(value: str, cells_per_e_fold: int) -> str:
     """Number of the logarithmic cell of a value; never decreases as the value grows.
 
     A double spans 709 e-folds, so there are at most ``2 * 710 * cells_per_e_fold`` cells
     whatever the data holds.
     """
-    return (
-        F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(float(cells_per_e_fold)))
-    ).cast("bigint")
+    return f"bigint(signum({value}) * floor(log1p(abs({value})) * {float(cells_per_e_fold)!r}D))"

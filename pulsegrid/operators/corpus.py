@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pulsegrid.functions.columns import uniform
-from pulsegrid.operators.windows import WINDOW, Sliding, shifted
+from pulsegrid.operators.windows import Sliding, shifted_sql
 
 #: Candidates kept per wanted row before ranking, and a floor for tiny samples: the chance of
 #: ending up short is below e^-50.
 OVERDRAW, OVERDRAW_FLOOR = 4, 64
 
 
-def row_tag() -> list:
-    """What identifies a window inside a hash tag."""
-    return [F.col("service_name"), F.unix_micros("window_end")]
+#: What identifies a window inside a hash tag.
+ROW_TAG = ("service_name", "unix_micros(window_end)")
 
 
 def without_warm_up(features: DataFrame, windows: Sliding) -> DataFrame:
     """Drop the first windows of each service, which reach back before its first event."""
     first = features.groupBy("service_name").agg(F.min("window_end").alias("first_window"))
-    full = shifted("first_window", F.lit(windows.max_reach - 1), windows)
+    full = F.expr(shifted_sql("first_window", windows.max_reach - 1, windows))
     return (
         features.join(first, "service_name").filter(F.col("window_end") >= full).drop("first_window")
     )
@@ -41,7 +40,7 @@ def balanced_corpus(features: DataFrame, n_samples: int = 6000, seed: int = 42)
     quota = F.col("quota")
     drawn = (
         features.join(sizes.withColumn("quota", share.scalar()), "service_name")
-        .withColumn("u", uniform(seed, "corpus", *row_tag()))
+        .withColumn("u", uniform(seed, "'corpus'", *ROW_TAG))
         .filter(F.col("u") * F.col("size") < quota * OVERDRAW + OVERDRAW_FLOOR)
     )
     order = Window.partitionBy("service_name").orderBy("u", "window_end")

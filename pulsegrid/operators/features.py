@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pulsegrid.functions.columns import settle
-from pulsegrid.operators.percentiles import latency_cell, nearest_ranks
+from pulsegrid.functions.columns import settle_sql
+from pulsegrid.operators.percentiles import LATENCY_CELL, nearest_ranks
 from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, spine, to_windows
 
 #: Feature order of the model input (fixed values).
@@ -26,8 +26,10 @@ def pane_histogram(counts: DataFrame) -> DataFrame:
     Partial aggregation happens beside the scan, so a busy pane shuffles some
     thousand cells instead of its events.
     """
-    return counts.groupBy(*PANE, "status_code", latency_cell().alias("cell")).agg(
-        F.sum("n").alias("n")
+    return (
+        counts.selectExpr(*PANE, "status_code", LATENCY_CELL, "n")
+        .groupBy(*PANE, "status_code", "cell")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -40,34 +42,31 @@ def status_histogram(histogram: DataFrame, windows: Sliding) -> DataFrame:
     )
 
 
-def entropy(count: Column) -> Column:
-    """Shannon entropy in nats of a group of counts: ln N - (sum of c ln c) / N."""
-    total = F.sum(count)
-    return F.abs(settle(F.ln(total) - F.sum(count * F.ln(count)) / total))
-
-
 def traffic(statuses: DataFrame) -> DataFrame:
-    """Request count, error rate and status entropy per window from the status histogram."""
-    errors = F.sum(F.when(F.col("status_code") >= 500, F.col("n")).otherwise(0))
+    """Request count, error rate and status entropy per window from the status histogram.
+
+    Entropy is in nats, as ln N - (sum of c ln c) / N over the counts c of the codes.
+    """
+    errors = "sum(CASE WHEN status_code >= 500 THEN n ELSE 0 END)"
     return statuses.groupBy(*WINDOW).agg(
-        F.sum("n").cast("double").alias("request_count"),
-        settle(errors / F.sum("n")).alias("error_rate"),
-        entropy(F.col("n")).alias("status_entropy"),
+        F.expr("double(sum(n))").alias("request_count"),
+        F.expr(settle_sql(f"{errors} / sum(n)")).alias("error_rate"),
+        F.expr(f"abs({settle_sql('ln(sum(n)) - sum(n * ln(n)) / sum(n)')})").alias(
+            "status_entropy"
+        ),
     )
 
 
 def count_rows(events: DataFrame, windows: Sliding) -> DataFrame:
     """Events as pane rows of weight one."""
-    return add_pane(events, windows).select(
-        *PANE, "status_code", "latency_ms", F.lit(1).cast("bigint").alias("n")
-    )
+    return add_pane(events, windows).selectExpr(*PANE, "status_code", "latency_ms", "1L AS n")
 
 
 def features_of_counts(counts: DataFrame, windows: Sliding) -> DataFrame:
     """Features from rows (pane, status_code, latency_ms, n)."""
     histogram = pane_histogram(counts)
-    latency = nearest_ranks(histogram, counts, windows, PERCENTS).select(
-        *WINDOW, *[F.col(f"p{p}").alias(f"p{p}_latency_ms") for p in PERCENTS]
+    latency = nearest_ranks(histogram, counts, windows, PERCENTS).toDF(
+        *WINDOW, *[f"p{p}_latency_ms" for p in PERCENTS]
     )
     return (
         traffic(status_histogram(histogram, windows))

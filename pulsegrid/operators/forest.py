@@ -14,8 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from pulsegrid.functions.columns import FEATURE_DIGITS, settle, uniform
-from pulsegrid.operators.corpus import OVERDRAW, OVERDRAW_FLOOR, row_tag
+from pulsegrid.functions.columns import FEATURE_DIGITS, settle, uniform, uniform_sql
+from pulsegrid.operators.corpus import OVERDRAW, OVERDRAW_FLOOR, ROW_TAG
 from pulsegrid.operators.features import FEATURES, model_vector
 from pulsegrid.operators.windows import WINDOW
 from pulsegrid.session import cut
@@ -95,15 +95,15 @@ def subsample(corpus: DataFrame, params: ForestParams, size: int) -> DataFrame:
     offered = min(params.trees, math.ceil(offers / size))
     pool = corpus
     if offers < size:
-        pool = corpus.filter(uniform(params.seed, "pool", *row_tag()) < offers / size)
-    first = F.floor(uniform(params.seed, "tree", *row_tag()) * params.trees)
+        pool = corpus.filter(uniform(params.seed, "'pool'", *ROW_TAG) < offers / size)
+    first = F.floor(uniform(params.seed, "'tree'", *ROW_TAG) * params.trees)
     candidates = pool.withColumn(
         "tree", F.explode(F.sequence(first, first + F.lit(offered - 1)))
     ).withColumn("tree", (F.col("tree") % params.trees).cast("int"))
     tasks = min(params.trees, corpus.sparkSession.sparkContext.defaultParallelism)
     order = Window.partitionBy("tree").orderBy("draw", *WINDOW)
     return (
-        candidates.withColumn("draw", uniform(params.seed, "draw", F.col("tree"), *row_tag()))
+        candidates.withColumn("draw", uniform(params.seed, "'draw'", "tree", *ROW_TAG))
         .repartition(tasks, "tree")
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= wanted)
@@ -124,30 +124,23 @@ def _split_level(rows: DataFrame, seed: int) -> DataFrame:
     sized = rows.selectExpr(
         "tree", "node", "x", "path", f"count(*) {_NODE} AS size", f"array({ranges}) AS ranges"
     )
-    varied = F.filter("ranges", lambda r: r["hi"] > r["lo"])
-    chosen = sized.select(
-        "tree",
-        "node",
-        "x",
-        "path",
-        "size",
-        varied.alias("varied"),
-        uniform(seed, "feature", F.col("tree"), F.col("node")).alias("u"),
-        uniform(seed, "cut", F.col("tree"), F.col("node")).alias("v"),
-    ).selectExpr("tree", "node", "x", "path", "size", "v", "get(varied, int(u * size(varied))) AS p")
-    split = "struct(node, size, p.feature AS feature, p.lo + v * (p.hi - p.lo) AS cut)"
-    return chosen.selectExpr("tree", "node", "x", "path", f"{split} AS split").select(
+    u, v = (uniform_sql(seed, label, "tree", "node") for label in ("'feature'", "'cut'"))
+    varied = "filter(ranges, r -> r.hi > r.lo) AS varied"
+    chosen = sized.selectExpr("tree", "node", "x", "path", "size", varied).selectExpr(
+        "tree", "node", "x", "path", "size", f"get(varied, int({u} * size(varied))) AS p"
+    )
+    split = f"struct(node, size, p.feature AS feature, p.lo + {v} * (p.hi - p.lo) AS cut)"
+    return chosen.selectExpr("tree", "node", "x", "path", f"{split} AS split").selectExpr(
         "tree",
         "x",
-        F.array_append("path", F.col("split")).alias("path"),
-        _child(F.col("node"), F.col("x"), F.col("split.feature"), F.col("split.cut")).alias("node"),
+        "array_append(path, split) AS path",
+        f"{_child_sql('split.feature', 'split.cut')} AS node",
     )
 
 
-def _child(node: Column, x: Column, feature: Column, cut_at: Column) -> Column:
+def _child_sql(feature: str, cut_at: str) -> str:
     """The node a row goes to: itself at a leaf."""
-    right = (F.element_at(x, feature + 1) >= cut_at).cast("bigint")
-    return F.when(feature.isNull(), node).otherwise(node * 2 + right)
+    return f"IF({feature} IS NULL, node, 2 * node + int(x[{feature}] >= {cut_at}))"
 
 
 def grow(sample: DataFrame, params: ForestParams, size: int) -> DataFrame:
@@ -191,10 +184,7 @@ def path_lengths(features: DataFrame, forest: Forest) -> DataFrame:
     for _ in range(forest.depth):
         rows = (
             rows.join(splits, ["tree", "node"])
-            .withColumn(
-                "node", _child(F.col("node"), F.col("x"), F.col("feature"), F.col("cut"))
-            )
-            .drop("feature", "cut")
+            .selectExpr(*WINDOW, "x", "tree", f"{_child_sql('feature', 'cut')} AS node")
         )
     return rows.join(nodes.select("tree", "node", "size"), ["tree", "node"]).select(
         *WINDOW,

@@ -33,8 +33,7 @@ def _one_of(codes: tuple[int, ...], u: Column) -> Column:
 def inject(events: DataFrame, mode: Column | str, seed: int = 42) -> DataFrame:
     """Apply an anomaly mode, a name or a column of names, and set the label."""
     mode = mode_label(F.lit(mode) if isinstance(mode, str) else mode)
-    event = F.col("event_id")
-    hit, pick = uniform(seed, event, 1), uniform(seed, event, 2)
+    hit, pick = uniform(seed, "event_id", 1), uniform(seed, "event_id", 2)
     low, high = SPIKE_FACTORS
     spiked = settle(F.col("latency_ms") * (low + (high - low) * hit), LATENCY_DIGITS)
     status = F.col("status_code")

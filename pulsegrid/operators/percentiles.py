@@ -14,49 +14,50 @@ values of one cell per percentile. Latencies carry three decimals, which makes a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from pulsegrid.functions.columns import nearest_rank, value_grid
-from pulsegrid.operators.windows import PANE, WINDOW, Sliding, shifted, to_windows
+from pulsegrid.functions.columns import nearest_rank_sql, value_grid_sql
+from pulsegrid.operators.windows import PANE, WINDOW, Sliding, shifted_sql, to_windows
 
 #: Cells per e-fold: each spans 0.4 % of the value.
 CELLS_PER_E_FOLD = 256
 
 
-def latency_cell() -> Column:
-    return value_grid(F.col("latency_ms"), CELLS_PER_E_FOLD)
+#: Cell of an event's latency.
+LATENCY_CELL = f"{value_grid_sql('latency_ms', CELLS_PER_E_FOLD)} AS cell"
 
 
-def _running(by: Sequence[str], order: str) -> Column:
-    rows = Window.partitionBy(*by).orderBy(order)
-    return F.sum("n").over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def _running(by: str, order: str) -> str:
+    return (
+        f"sum(n) OVER (PARTITION BY {by} ORDER BY {order} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
 
 
 def _cells_holding_ranks(
     histogram: DataFrame, windows: Sliding, percents: Sequence[float]
 ) -> DataFrame:
     """The cell of each (window, percent) that holds the wanted rank, and the rank within it."""
-    cells = to_windows(histogram, windows).groupBy(*WINDOW, "cell").agg(F.sum("n").alias("n"))
-    ordered = Window.partitionBy(*WINDOW).orderBy("cell")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counted = cells.select(
-        "*", _running(WINDOW, "cell").alias("upto"), F.sum("n").over(whole).alias("total")
+    cells = to_windows(histogram, windows).groupBy(*WINDOW, "cell").agg({"n": "sum"})
+    key = ", ".join(WINDOW)
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    counted = cells.withColumnRenamed("sum(n)", "n").selectExpr(
+        *WINDOW,
+        "cell",
+        f"{_running(key, 'cell')} - n AS below",
+        f"{_running(key, 'cell')} AS upto",
+        f"sum(n) OVER (PARTITION BY {key} ORDER BY cell {whole}) AS total",
     )
-    below = F.col("upto") - F.col("n")
-    ranks = {p: nearest_rank(p, F.col("total")) for p in percents}
-    held = {p: (rank > below) & (rank <= F.col("upto")) for p, rank in ranks.items()}
-    hits = [
-        F.when(
-            held[p], F.struct(F.lit(float(p)).alias("percent"), (ranks[p] - below).alias("rank"))
-        )
+    ranks = {p: nearest_rank_sql(p, "total") for p in percents}
+    held = {p: f"({rank} > below AND {rank} <= upto)" for p, rank in ranks.items()}
+    hits = ", ".join(
+        f"IF({held[p]}, struct({float(p)!r}D AS percent, {ranks[p]} - below AS rank), NULL)"
         for p in percents
-    ]
+    )
     return (
-        counted.filter(reduce(or_, held.values()))
-        .withColumn("hit", F.explode(F.array(*hits)))
+        counted.filter(" OR ".join(held.values()))
+        .selectExpr(*WINDOW, "cell", f"explode(array({hits})) AS hit")
         .filter("hit IS NOT NULL")
         .select(*WINDOW, "cell", "hit.percent", "hit.rank")
     )
@@ -64,18 +65,21 @@ def _cells_holding_ranks(
 
 def _values_of_cells(cells: DataFrame, counts: DataFrame, windows: Sliding) -> DataFrame:
     """Distinct values and their counts in the panes below the given window cells."""
-    values = counts.groupBy(*PANE, latency_cell().alias("cell"), "latency_ms").agg(
-        F.sum("n").alias("n")
+    values = (
+        counts.selectExpr(*PANE, LATENCY_CELL, "latency_ms", "n")
+        .groupBy(*PANE, "cell", "latency_ms")
+        .agg({"n": "sum"})
     )
-    steps = F.sequence(F.lit(0), F.lit(windows.max_reach))
-    below = cells.withColumn("back", F.explode(steps)).withColumn(
-        "pane_end", shifted("window_end", -F.col("back"), windows)
+    below = cells.selectExpr("*", f"explode(sequence(0, {windows.max_reach})) AS back").selectExpr(
+        "*", f"{shifted_sql('window_end', '-back', windows)} AS pane_end"
     )
     return (
-        values.join(below, ["service_name", "pane_end", "cell"])
+        values.withColumnRenamed("sum(n)", "n")
+        .join(below, ["service_name", "pane_end", "cell"])
         .filter("reach >= back")
         .groupBy(*WINDOW, "percent", "rank", "latency_ms")
-        .agg(F.sum("n").alias("n"))
+        .agg({"n": "sum"})
+        .withColumnRenamed("sum(n)", "n")
     )
 
 
@@ -88,14 +92,7 @@ def nearest_ranks(
     """
     cells = _cells_holding_ranks(histogram, windows, percents)
     values = _values_of_cells(cells, counts, windows)
-    return (
-        values.withColumn("upto", _running([*WINDOW, "percent"], "latency_ms"))
-        .filter("rank <= upto AND rank > upto - n")
-        .groupBy(*WINDOW)
-        .agg(
-            *[
-                F.max(F.when(F.col("percent") == float(p), F.col("latency_ms"))).alias(f"p{p:g}")
-                for p in percents
-            ]
-        )
-    )
+    upto = _running(f"{', '.join(WINDOW)}, percent", "latency_ms")
+    found = values.selectExpr("*", f"{upto} AS upto").filter("rank <= upto AND rank > upto - n")
+    one_row = found.groupBy(*WINDOW).pivot("percent", [float(p) for p in percents])
+    return one_row.agg({"latency_ms": "max"}).toDF(*WINDOW, *[f"p{p:g}" for p in percents])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.functions.columns import MICROS
 
@@ -43,35 +43,31 @@ class Sliding:
         return self.width // self.slide
 
 
-def first_end(ts: Column, windows: Sliding) -> Column:
+def first_end_sql(ts: str, windows: Sliding) -> str:
     """First grid point at or after the event."""
-    slide = F.lit(windows.slide)
-    micros = F.unix_micros(ts)
-    return F.timestamp_micros(micros + F.pmod(-micros, slide))
+    return f"timestamp_micros(unix_micros({ts}) + pmod(-unix_micros({ts}), {windows.slide}L))"
+
+
+def shifted_sql(ts: str, steps: str | int, windows: Sliding) -> str:
+    """The grid point ``steps`` slides after ``ts``."""
+    return f"timestamp_micros(unix_micros({ts}) + {steps} * {windows.slide}L)"
 
 
 def add_pane(events: DataFrame, windows: Sliding) -> DataFrame:
     """Add ``pane_end`` (first end) and ``reach`` (further ends) to events with a ``ts``."""
-    room = F.unix_micros("ts") + F.lit(windows.width) - F.unix_micros("pane_end")
+    room = f"unix_micros(ts) + {windows.width}L - unix_micros(pane_end)"
     return (
-        events.withColumn("pane_end", first_end(F.col("ts"), windows))
-        .withColumn("reach", F.floor(room / F.lit(windows.slide)).cast("int"))
+        events.selectExpr("*", f"{first_end_sql('ts', windows)} AS pane_end")
+        .selectExpr("*", f"int(floor(({room}) / {windows.slide}L)) AS reach")
         .filter("reach >= 0")
     )
 
 
-def shifted(ts: str, steps: Column, windows: Sliding) -> Column:
-    """The grid point ``steps`` slides after ``ts``."""
-    return F.timestamp_micros(
-        F.unix_micros(ts) + steps.cast("bigint") * F.lit(windows.slide)
-    )
-
-
 def to_windows(panes: DataFrame, windows: Sliding) -> DataFrame:
     """Give each pane row to every window that covers its pane."""
-    steps = panes.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("reach"))))
-    return steps.withColumn("window_end", shifted("pane_end", F.col("step"), windows)).drop(
-        "pane_end", "reach", "step"
+    kept = [name for name in panes.columns if name not in ("pane_end", "reach")]
+    return panes.selectExpr("*", "explode(sequence(0, reach)) AS step").selectExpr(
+        *kept, f"{shifted_sql('pane_end', 'step', windows)} AS window_end"
     )
 
 
@@ -111,9 +107,9 @@ def spine(events: DataFrame, windows: Sliding) -> DataFrame:
     services = events.groupBy("service_name").agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
-    last = services.agg(first_end(F.max("last_ts"), windows)).scalar()
+    last = services.agg(F.expr(first_end_sql("max(last_ts)", windows))).scalar()
     slots = F.sequence(
-        F.unix_micros(first_end(F.col("first_ts"), windows)),
+        F.unix_micros(F.expr(first_end_sql("first_ts", windows))),
         F.unix_micros(last),
         F.lit(windows.slide),
     )
@@ -124,6 +120,6 @@ def spine(events: DataFrame, windows: Sliding) -> DataFrame:
 
 def latest_window(events: DataFrame, windows: Sliding) -> DataFrame:
     """Events of the window that ends at the first grid point at or after the newest event."""
-    end = events.agg(F.max("ts").alias("newest")).select(first_end(F.col("newest"), windows))
-    start = F.timestamp_micros(F.unix_micros(end.scalar()) - F.lit(windows.width))
+    end = events.agg(F.expr(first_end_sql("max(ts)", windows))).scalar()
+    start = F.timestamp_micros(F.unix_micros(end) - F.lit(windows.width))
     return events.filter(F.col("ts") >= start)

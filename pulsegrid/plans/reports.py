@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.functions.columns import MICROS, mode_label, settle
 from pulsegrid.operators.inject import bucket_of, in_buckets
-from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, shifted, to_windows
+from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, shifted_sql, to_windows
 
 
 def rate_panel(counts: DataFrame, windows: Sliding) -> DataFrame:
@@ -41,8 +41,8 @@ def alert_edges(scored: DataFrame, windows: Sliding, threshold: float = 0.0) ->
     end: an anti join on (service, end), which never brings a service's history together.
     """
     low = scored.filter(F.col("anomaly_score") < threshold).select(*WINDOW, "anomaly_score")
-    after_low = low.select(
-        "service_name", shifted("window_end", F.lit(1), windows).alias("window_end")
+    after_low = low.selectExpr(
+        "service_name", f"{shifted_sql('window_end', 1, windows)} AS window_end"
     )
     return low.join(after_low, list(WINDOW), "left_anti")
 

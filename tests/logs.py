@@ -34,8 +34,8 @@ def features_of(spark: SparkSession, latencies: list[float], codes: list[int]) -
 
 def _normal(*tag) -> Column:
     """Standard normal numbers from two hash uniforms."""
-    radius = F.sqrt(-2.0 * F.ln(1.0 - uniform(*tag, "radius")))
-    return radius * F.cos(2.0 * math.pi * uniform(*tag, "angle"))
+    radius = F.sqrt(-2.0 * F.ln(1.0 - uniform(*tag, "'radius'")))
+    return radius * F.cos(2.0 * math.pi * uniform(*tag, "'angle'"))
 
 
 def _normal_status(u: Column) -> Column:
@@ -56,17 +56,17 @@ def traffic(
     first: int = 1,
 ) -> DataFrame:
     """Normal traffic: one window every 30 s, log-normal latencies, the usual status mix."""
-    n = F.floor(events_per_window * (1 + spread * _normal(seed, service, F.col("id"), "n")))
+    n = F.floor(events_per_window * (1 + spread * _normal(seed, f"'{service}'", "id", "'n'")))
     per_window = spark.range(first, first + windows).withColumn(
         "k", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(10), n).cast("int")))
     )
-    tag = (seed, service, F.col("id"), F.col("k"))
+    tag = (seed, f"'{service}'", "id", "k")
     return per_window.select(
         F.monotonically_increasing_id().alias("event_id"),
         F.timestamp_seconds(F.col("id") * 30 - 15).alias("ts"),
         F.lit(service).alias("service_name"),
-        _normal_status(uniform(*tag, "status")).alias("status_code"),
-        F.greatest(F.lit(1.0), F.round(F.exp(4.4 + 0.5 * _normal(*tag, "ms")), 3)).alias(
+        _normal_status(uniform(*tag, "'status'")).alias("status_code"),
+        F.greatest(F.lit(1.0), F.round(F.exp(4.4 + 0.5 * _normal(*tag, "'ms'")), 3)).alias(
             "latency_ms"
         ),
     )
