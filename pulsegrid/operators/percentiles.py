@@ -1,10 +1,12 @@
 """Exact nearest-rank percentiles of sliding windows, without collecting a window anywhere.
 
 ``percentile_disc`` keeps every distinct value of a group in one task. Here the rank is found
-in two steps: a histogram over logarithmic cells tells which cell of a window holds it, then
-only that cell's distinct values are counted. Events are aggregated on (pane, cell, value)
-before any of them is brought together, so a window that holds a third of all events is
-counted by all tasks.
+in two steps: a histogram over logarithmic cells, counted beside the scan, tells which cell of
+a window holds it; then the events of just those cells are joined, counted per value, and
+ranked. A window that holds a third of all events is counted by all tasks. Should one cell of
+one pane hold as much, say because a timeout cuts all requests at the same latency, the join
+is a plain inner equality join that adaptive execution splits (``spark.sql.adaptive.skewJoin``),
+and its output is counted per value before it moves again.
 
 What one task sees of a window is its cells (some 3 500 up to 10^6 ms), and the distinct
 values of one cell per percentile. Latencies carry three decimals, which makes at most
@@ -65,17 +67,12 @@ def _cells_holding_ranks(
 
 def _values_of_cells(cells: DataFrame, counts: DataFrame, windows: Sliding) -> DataFrame:
     """Distinct values and their counts in the panes below the given window cells."""
-    values = (
-        counts.selectExpr(*PANE, LATENCY_CELL, "latency_ms", "n")
-        .groupBy(*PANE, "cell", "latency_ms")
-        .agg({"n": "sum"})
-    )
+    values = counts.selectExpr(*PANE, LATENCY_CELL, "latency_ms", "n")
     below = cells.selectExpr("*", f"explode(sequence(0, {windows.max_reach})) AS back").selectExpr(
         "*", f"{shifted_sql('window_end', '-back', windows)} AS pane_end"
     )
     return (
-        values.withColumnRenamed("sum(n)", "n")
-        .join(below, ["service_name", "pane_end", "cell"])
+        values.join(below, ["service_name", "pane_end", "cell"])
         .filter("reach >= back")
         .groupBy(*WINDOW, "percent", "rank", "latency_ms")
         .agg({"n": "sum"})

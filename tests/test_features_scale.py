@@ -74,6 +74,34 @@ def test_properties(spark):
     assert features.agg(F.sum("request_count")).first()[0] == 3 * len(rows)
 
 
+def test_hot_cell_is_split(spark):
+    """Nine tenths of the events in one cell of one window: the join is cut into pieces."""
+    rows = spark.range(200_000).select(
+        F.timestamp_micros(F.col("id") * 100).alias("ts"),
+        F.lit("hot").alias("service_name"),
+        F.lit(200).alias("status_code"),
+        F.when(F.col("id") % 10 == 0, F.col("id") / 1000)
+        .otherwise(30_000 + F.xxhash64("id") % 10_000 / 1000)
+        .alias("latency_ms"),
+    ).repartition(16)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        features = window_features(rows, wn.Sliding(60, 60))
+        by_end = {r.window_end.timestamp(): r for r in features.collect()}
+        assert "skew=true" in features._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert by_end[60].request_count == 200_000 and 29_990 < by_end[60].p50_latency_ms < 30_010
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString() + (
         df._jdf.queryExecution().executedPlan().toString()
