@@ -62,15 +62,32 @@ def count_rows(events: DataFrame, windows: Sliding) -> DataFrame:
     return add_pane(events, windows).selectExpr(*PANE, "status_code", "latency_ms", "1L AS n")
 
 
+def latency(histogram: DataFrame, counts: DataFrame, windows: Sliding) -> DataFrame:
+    """The latency percentiles per window."""
+    return nearest_ranks(histogram, counts, windows, PERCENTS).toDF(
+        *WINDOW, *[f"p{p}_latency_ms" for p in PERCENTS]
+    )
+
+
+def window_traffic(events: DataFrame, windows: Sliding) -> DataFrame:
+    """The features that need no latencies, per non-empty window."""
+    panes = add_pane(events, windows).groupBy(*PANE, "status_code")
+    return traffic(status_histogram(panes.agg(F.count(F.lit(1)).alias("n")), windows))
+
+
+def window_latency(events: DataFrame, windows: Sliding) -> DataFrame:
+    """The latency percentiles per non-empty window."""
+    counts = count_rows(events, windows)
+    cells = counts.selectExpr(*PANE, LATENCY_CELL, "n").groupBy(*PANE, "cell")
+    return latency(cells.agg(F.sum("n").alias("n")), counts, windows)
+
+
 def features_of_counts(counts: DataFrame, windows: Sliding) -> DataFrame:
     """Features from rows (pane, status_code, latency_ms, n)."""
     histogram = pane_histogram(counts)
-    latency = nearest_ranks(histogram, counts, windows, PERCENTS).toDF(
-        *WINDOW, *[f"p{p}_latency_ms" for p in PERCENTS]
-    )
     return (
         traffic(status_histogram(histogram, windows))
-        .join(latency, list(WINDOW))
+        .join(latency(histogram, counts, windows), list(WINDOW))
         .select(*WINDOW, *FEATURES)
     )
 

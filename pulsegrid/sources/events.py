@@ -111,12 +111,12 @@ def with_date(rows: DataFrame, ts: str) -> DataFrame:
 def write_archive(events: DataFrame, path: str) -> None:
     """Raw events by date and service.
 
-    Rows are spread by (date, service, hour) before writing: few files per folder, and no
-    single task for a service that holds most of a day.
+    Rows are brought together by folder before writing, for few files; adaptive execution
+    splits the folder of a service that holds most of a day among several tasks.
     """
     (
         with_date(events, "ts")
-        .repartition("date", "service_name", F.hour("ts"))
+        .hint("rebalance", "date", "service_name")
         .write.mode("overwrite")
         .partitionBy("date", "service_name")
         .parquet(path)
@@ -139,9 +139,14 @@ def time_range(rows: DataFrame, start: str, stop: str, ts: str = "ts") -> DataFr
 
 
 def retained(rows: DataFrame, seconds: float, ts: str = "ts") -> DataFrame:
-    """Rows not older than ``seconds`` before the newest one."""
+    """Rows not older than ``seconds`` before the newest one.
+
+    Of a table partitioned by date only the folders of the days kept are read.
+    """
     newest = rows.agg(F.max(ts)).scalar()
     oldest = F.timestamp_micros(F.unix_micros(newest) - F.lit(round(seconds * 1_000_000)))
+    if "date" in rows.columns:
+        rows = rows.filter(F.col("date") >= F.to_date(oldest))
     return rows.filter(F.col(ts) >= oldest)
 
 

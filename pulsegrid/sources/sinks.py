@@ -31,7 +31,7 @@ def write_table(rows: DataFrame, path: str) -> None:
     """
     (
         with_date(rows, "window_end")
-        .repartition("date", F.hour("window_end"))
+        .hint("rebalance", "date")
         .write.mode("overwrite")
         .partitionBy("date")
         .parquet(path)
