@@ -181,3 +181,26 @@ def test_profile_drift_shows_missing_services(spark):
     assert rows["auth-service"].observed_per_second == pytest.approx(1.1)
     assert rows["payments-service"].observed_per_second is None
     assert len(rows) == 3
+
+
+def test_each_message_is_parsed_once(spark):
+    good = ev.usable(ev.decode(messages(spark, GOOD, "{bad").repartition(2)))
+    plan = good._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+    assert plan.count("from_json(") == 1
+
+
+def test_message_without_value_is_set_aside(spark):
+    empty = spark.createDataFrame([(None,), (json.dumps(GOOD),)], "value string")
+    decoded = ev.decode(empty)
+    assert (ev.usable(decoded).count(), ev.quarantined(decoded).count()) == (1, 1)
+
+
+def test_retention_of_a_dated_table_reads_the_days_kept(spark, tmp_path):
+    logs = log_table(spark, [(i * 43_200.0, "s", 200, 1.0) for i in range(20)])
+    ev.write_archive(logs, str(tmp_path))
+    archive = ev.read_archive(spark, str(tmp_path))
+    kept = ev.retained(archive, 86_400)
+    assert kept.count() == 3
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any("date" in f for f in filters), filters
