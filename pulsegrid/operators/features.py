@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.functions.columns import settle_sql
 from pulsegrid.operators.percentiles import LATENCY_CELL, nearest_ranks
-from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, spine, to_windows
+from pulsegrid.operators.windows import (
+    PANE,
+    WINDOW,
+    Sliding,
+    add_pane,
+    event_bounds,
+    spine,
+    to_windows,
+)
 
 #: Feature order of the model input (fixed values).
 FEATURES = (
@@ -97,18 +105,14 @@ def window_features(events: DataFrame, windows: Sliding) -> DataFrame:
     return features_of_counts(count_rows(events, windows), windows)
 
 
-def spine_features(
-    events: DataFrame, windows: Sliding, features: DataFrame | None = None
-) -> DataFrame:
+def spine_features(events: DataFrame, windows: Sliding) -> DataFrame:
     """One row per service and window end, all zeros where the service was silent.
 
     Ends after the last complete one, which see only part of their window, are left out.
     """
-    if features is None:
-        features = window_features(events, windows)
     return (
-        spine(events, windows)
-        .join(features, list(WINDOW), "left")
+        spine(event_bounds(events, windows), windows)
+        .join(window_features(events, windows), list(WINDOW), "left")
         .na.fill(0.0, list(FEATURES))
         .select(*WINDOW, *FEATURES)
     )

@@ -97,23 +97,29 @@ def window_counts(events: DataFrame, windows: Sliding) -> DataFrame:
     )
 
 
-def spine(events: DataFrame, windows: Sliding) -> DataFrame:
+def event_bounds(events: DataFrame, windows: Sliding) -> DataFrame:
+    """First end of the oldest and of the newest event of each service.
+
+    Reads two columns and reduces them to one row per service beside the scan.
+    """
+    return events.groupBy("service_name").agg(
+        F.expr(first_end_sql("min(ts)", windows)).alias("first_end"),
+        F.expr(first_end_sql("max(ts)", windows)).alias("last_end"),
+    )
+
+
+def spine(bounds: DataFrame, windows: Sliding) -> DataFrame:
     """Every window end of every service, from its first event's first end to the last end.
 
     The last end is the first one at or after the newest event of all services; a service
     that has fallen silent keeps its rows. Ends come from a sequence per service, so nothing
-    is crossed; events are reduced to one row per service on the map side.
+    is crossed.
     """
-    services = events.groupBy("service_name").agg(
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
-    )
-    last = services.agg(F.expr(first_end_sql("max(last_ts)", windows))).scalar()
+    last = bounds.agg(F.max("last_end")).scalar()
     slots = F.sequence(
-        F.unix_micros(F.expr(first_end_sql("first_ts", windows))),
-        F.unix_micros(last),
-        F.lit(windows.slide),
+        F.unix_micros("first_end"), F.unix_micros(last), F.lit(windows.slide)
     )
-    return services.select("service_name", F.explode(slots).alias("slot")).select(
+    return bounds.select("service_name", F.explode(slots).alias("slot")).select(
         "service_name", F.timestamp_micros("slot").alias("window_end")
     )
 

@@ -220,7 +220,7 @@ def w1_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w3_window_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(wn.spine(read_logs(spark, sf_dir), WINDOWS))
+    return plain(wn.spine(wn.event_bounds(read_logs(spark, sf_dir), WINDOWS), WINDOWS))
 
 
 def w4_spine_features(spark: SparkSession, sf_dir: str) -> DataFrame:

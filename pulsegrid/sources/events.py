@@ -113,11 +113,14 @@ def write_archive(events: DataFrame, path: str) -> None:
     """Raw events by date and service.
 
     Rows are brought together by folder before writing, for few files; adaptive execution
-    splits the folder of a service that holds most of a day among several tasks.
+    splits the folder of a service that holds most of a day among several tasks. Files are
+    sorted by time, so that a time range skips most of their row groups.
     """
+    prepare(events.sparkSession)
     (
         with_date(events, "ts")
         .hint("rebalance", "date", "service_name")
+        .sortWithinPartitions("date", "service_name", "ts")
         .write.mode("overwrite")
         .partitionBy("date", "service_name")
         .parquet(path)

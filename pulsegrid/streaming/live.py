@@ -120,13 +120,15 @@ def run_silence(
     windows: Sliding,
     delay_seconds: float,
     path: str,
+    forest: Forest | None = None,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Write the (service, window end) pairs at which a known service sent nothing."""
+    """Write the windows in which a known service sent nothing, scored if there is a model."""
     from pulsegrid.streaming.silence import silent_windows
 
+    silent = silent_windows(events, windows, delay_seconds)
     return (
-        silent_windows(events, windows, delay_seconds)
+        (score(silent, forest) if forest is not None else silent)
         .writeStream.format("parquet")
         .option("path", f"{path}/silent")
         .option("checkpointLocation", f"{path}/progress")

@@ -80,6 +80,7 @@ def test_archive_reads_only_the_days_asked_for(spark, tmp_path):
     ]
     plan = some.select("ts", "status_code")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "latency_ms" not in plan
+    assert "GreaterThanOrEqual(ts" in plan.split("PushedFilters: ")[1]
     files = some.select(F.input_file_name()).distinct().count()
     assert files < archive.select(F.input_file_name()).distinct().count()
 

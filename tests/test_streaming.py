@@ -140,8 +140,12 @@ def test_silent_service_keeps_its_rows(spark, tmp_path):
         rows += part
         drop_file(spark, folder, i, part)
     events = live.stream_table(spark, folder, SCHEMA, files_per_batch=1)
-    live.run_silence(events, WINDOWS, DELAY, out).awaitTermination()
-    got = spark.read.parquet(f"{out}/silent").select("service_name", "window_end", *FEATURES)
+    normal = cut(window_features(log_table(spark, rows), WINDOWS))
+    forest = fo.fit(normal, fo.ForestParams(trees=10))
+    live.run_silence(events, WINDOWS, DELAY, out, forest).awaitTermination()
+    silent = spark.read.parquet(f"{out}/silent")
+    assert silent.filter("is_anomalous != (anomaly_score < 0)").count() == 0
+    got = silent.select("service_name", "window_end", *FEATURES)
     limit = F.timestamp_seconds(F.lit(closed(rows)))
     want = spine_features(log_table(spark, rows), WINDOWS).filter(
         (F.col("window_end") <= limit) & (F.col("request_count") == 0)
