@@ -20,47 +20,53 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class SilenceProcessor(StatefulProcessor):
-    """Keeps the next window end a service owes; every end it skips is a silent window."""
-
-    def __init__(self, slide_micros: int) -> None:
-        self.slide = slide_micros
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.owed = handle.getValueState("owed", "window_end bigint")
-
-    def _rows(self, service: str, ends: list[int]) -> Iterator[pd.DataFrame]:
-        if ends:
-            stamps = pd.to_datetime(pd.Series(ends, dtype="int64"), unit="us")
-            yield pd.DataFrame({"service_name": service, "window_end": stamps})
-
-    def _owe(self, end: int) -> None:
-        self.owed.update((end,))
-        self.handle.registerTimer(-(-end // 1000))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        heard = sorted(end for frame in rows for end in frame["end_micros"].tolist())
-        next_end = self.owed.get()[0] if self.owed.exists() else heard[0]
-        silent: list[int] = []
-        for end in heard:
-            silent.extend(range(next_end, end, self.slide))
-            next_end = end + self.slide
-        self._owe(next_end)
-        yield from self._rows(key[0], silent)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # A timer set here fires only with the next batch: settle all ends due by now at once.
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        next_end = self.owed.get()[0]
-        silent = list(range(next_end, passed + 1, self.slide))
-        if silent:
-            next_end = silent[-1] + self.slide
+def silence_processor(slide: int) -> StatefulProcessor:
+    """The stateful part, for a slide in microseconds.
+
+    A class made in a function travels to the workers by value, so they need not have this
+    package installed.
+    """
+
+    class SilenceProcessor(StatefulProcessor):
+        """Keeps the next window end a service owes; every end it skips is a silent window."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.owed = handle.getValueState("owed", "window_end bigint")
+
+        def _rows(self, service: str, ends: list[int]) -> Iterator[pd.DataFrame]:
+            if ends:
+                stamps = pd.to_datetime(pd.Series(ends, dtype="int64"), unit="us")
+                yield pd.DataFrame({"service_name": service, "window_end": stamps})
+
+        def _owe(self, end: int) -> None:
+            self.owed.update((end,))
+            self.handle.registerTimer(-(-end // 1000))
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            heard = sorted(end for frame in rows for end in frame["end_micros"].tolist())
+            next_end = self.owed.get()[0] if self.owed.exists() else heard[0]
+            silent: list[int] = []
+            for end in heard:
+                silent.extend(range(next_end, end, slide))
+                next_end = end + slide
             self._owe(next_end)
-        yield from self._rows(key[0], silent)
+            yield from self._rows(key[0], silent)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            # A timer set here fires only with the next batch: settle all ends due by now at once.
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            next_end = self.owed.get()[0]
+            silent = list(range(next_end, passed + 1, slide))
+            if silent:
+                next_end = silent[-1] + slide
+                self._owe(next_end)
+            yield from self._rows(key[0], silent)
+
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return SilenceProcessor()
 
 
 def silent_windows(events: DataFrame, windows: Sliding, delay_seconds: float) -> DataFrame:
@@ -77,7 +83,7 @@ def silent_windows(events: DataFrame, windows: Sliding, delay_seconds: float) ->
         .select("service_name", "window_end", F.unix_micros("window_end").alias("end_micros"))
     )
     silent = heard.groupBy("service_name").transformWithStateInPandas(
-        statefulProcessor=SilenceProcessor(windows.slide),
+        statefulProcessor=silence_processor(windows.slide),
         outputStructType="service_name string, window_end timestamp",
         outputMode="Append",
         timeMode="EventTime",
