@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.llm.cells import deal
 from pulsegrid.llm.components import block_labels, components
+from pulsegrid.llm.sampling import drawn
 from pulsegrid.session import cut
 
 MAX_LISTS = 4096
@@ -24,6 +25,7 @@ SUBSPACES = 8
 CODES = 256
 BLOCK = 1024  #: vectors a task compares with as many others
 PAIRS = 1 << 16  #: pairs reranked at once
+VISITORS = 256  #: vectors whose visits are made at once: each may visit every list
 
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
@@ -110,33 +112,44 @@ class Quantiser:
         return np.sqrt(total)
 
 
-def _visits(quantiser: Quantiser, dim: int, reach: float):
-    """Each vector in its own list, coded, and as a query in the later lists it probes."""
-    schema = "cell int, home boolean, vec_id long, copies long, vec array<double>, code binary, error double"
+def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
+    """Each vector in its own list, coded, and as a query in the later lists it probes.
+
+    ``number`` is the numpy type in which vectors travel without loss.
+    """
+    schema = "cell int, home boolean, vec_id long, copies long, vec binary, code binary, error double"
     numbers = np.arange(len(quantiser.centres))
-    step = max(1, (1 << 22) // len(quantiser.centres))
+    step = min(VISITORS, max(1, (1 << 22) // len(quantiser.centres)))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for i in range(0, len(frame), step):
                 part = frame.iloc[i : i + step]
-                rows = unit(stack(part["vec"], dim))
+                whole = stack(part["vec"], dim)
+                vecs = [v.tobytes() for v in whole.astype(number)]
+                rows = unit(whole)
                 far = squared(rows, quantiser.centres)
                 home = far.argmin(axis=1)
                 near = quantiser.probes(rows, home, far, reach) & (numbers > home[:, None])
                 near[np.arange(len(rows)), home] = True
                 row, cell = near.nonzero()
                 codes, error = quantiser.encode(rows, home)
-                out = part.iloc[row].reset_index(drop=True)
-                out["cell"], out["home"] = cell.astype(np.int32), cell == home[row]
-                out["code"] = [codes[r].tobytes() for r in row]
-                out["error"] = error[row]
-                yield out[["cell", "home", "vec_id", "copies", "vec", "code", "error"]]
+                yield pd.DataFrame(
+                    {
+                        "cell": cell.astype(np.int32),
+                        "home": cell == home[row],
+                        "vec_id": part["vec_id"].to_numpy()[row],
+                        "copies": part["copies"].to_numpy()[row],
+                        "vec": [vecs[r] for r in row],
+                        "code": [codes[r].tobytes() for r in row],
+                        "error": error[row],
+                    }
+                )
 
     return of, schema
 
 
-def _links_of_block(quantiser: Quantiser, dim: int, least: float):
+def _links_of_block(quantiser: Quantiser, dim: int, least: float, number: str):
     """Counts the links within a task and gives each vector its block's smallest linked one."""
     radius = math.sqrt(2 - 2 * least)
 
@@ -146,7 +159,8 @@ def _links_of_block(quantiser: Quantiser, dim: int, least: float):
         order = np.lexsort((frame["vec_id"].to_numpy(), ~own))
         frame = frame.iloc[order]
         keys, copies = frame["vec_id"].to_numpy(), frame["copies"].to_numpy()
-        rows = unit(stack(frame["vec"], dim))
+        rows = np.frombuffer(b"".join(frame["vec"]), number).reshape(len(frame), dim)
+        rows = unit(rows.astype(np.float64))
         members = len(frame) if alone else int(own.sum())
         codes = np.frombuffer(b"".join(frame["code"].iloc[:members]), np.uint8).reshape(members, -1)
         slack = frame["error"].to_numpy()[:members] + radius + 1e-4  # tables are single precision
@@ -187,8 +201,8 @@ def fit(vectors: DataFrame, lists: int | None = None) -> tuple[Quantiser, int] |
         return None
     wanted = lists or min(MAX_LISTS, math.isqrt(found[0]))
     size = max(TRAIN_LEAST, TRAIN_PER_LIST * wanted)
-    drawn = vectors.orderBy(F.xxhash64(F.lit(11), "vec_id"), "vec_id").limit(size).select("vec")
-    sample = unit(stack(drawn.toPandas()["vec"], found[1]))
+    some = drawn(vectors, found[0], size, 11, "vec_id").select("vec")
+    sample = unit(stack(some.toPandas()["vec"], found[1]))
     return Quantiser(sample, max(1, wanted)), found[1]
 
 
@@ -197,7 +211,7 @@ def near_copies(
     id: str = "vec_id",
     vector: str = "embedding",
     least: float = 0.95,
-    reach: float = 0.65,
+    reach: float = 0.45,
     lists: int | None = None,
 ) -> DataFrame:
     """One row ``(vec_id, n_links, component_id, kept)`` per row of ``vectors``.
@@ -227,7 +241,9 @@ def near_copies(
         )
     quantiser, dim = fitted
     radius = math.sqrt(2 - 2 * least)
-    of, schema = _visits(quantiser, dim, reach * radius)
+    single = vectors.schema[vector].dataType.elementType.simpleString() == "float"
+    number = "<f4" if single else "<f8"
+    of, schema = _visits(quantiser, dim, reach * radius, number)
     visits = cut(
         distinct.select(F.col("least_id").alias("vec_id"), "copies", "vec").mapInPandas(of, schema)
     )
@@ -235,7 +251,7 @@ def near_copies(
         deal(visits, "vec_id", BLOCK)
         .groupBy("cell", "first", "second")
         .applyInPandas(
-            _links_of_block(quantiser, dim, least), "vec_id long, links long, low long"
+            _links_of_block(quantiser, dim, least, number), "vec_id long, links long, low long"
         )
     )
     counts = found.groupBy(F.col("vec_id").alias("least_id")).agg(F.sum("links").alias("links"))
