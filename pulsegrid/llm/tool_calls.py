@@ -100,34 +100,81 @@ def _faults(tools: DataFrame) -> tuple[DataFrame, Column]:
     ).otherwise(F.coalesce(F.array_sort(F.concat(missing, unknown, typed)), none))
 
 
+def _roots(single: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, root, steps)``: the first call up a chain that is not in ``single``.
+
+    ``single (conv_id, call_id, need)`` has calls with one need. All go up twice as far each round, so
+    rounds are as many as the logarithm of the longest chain. Calls on a cycle, or below one, are
+    those left when a round brings no call to its root; they are dropped.
+    """
+    current = cut(single.select(*KEY, F.col("need").alias("root"), F.lit(1).alias("steps")))
+    left = None
+    while True:
+        above = current.select(
+            "conv_id", F.col("call_id").alias("root"), F.col("root").alias("higher"),
+            F.col("steps").alias("more"),
+        )
+        moved = current.join(above, ["conv_id", "root"], "left").select(
+            *KEY,
+            F.coalesce("higher", "root").alias("root"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.col("higher").isNull().alias("there"),
+        )
+        moved = cut(moved)
+        waiting = moved.filter("NOT there").count()
+        if waiting in (0, left):
+            return moved.filter("there").drop("there")
+        current, left = moved.drop("there"), waiting
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)``: how many calls must come before, one after another.
 
-    Level 0 needs no call that exists. Each round strikes off the needs that the last level has met:
-    calls left without any are the next level. Calls on a cycle, or that need one, are left out.
-    A round is written to the shared folder; there are as many as the longest chain of calls.
+    Level 0 needs no call that exists. Chains of calls with one need each are followed by doubling;
+    the rest goes level by level, in as many rounds as calls with several needs follow each other.
+    Rounds are written to the shared folder. Calls on a cycle, or that need one, are left out.
     """
     ids = calls.select(*KEY)
     needs = cut(
         calls.select(*KEY, F.explode(F.array_distinct("after")).alias("need")).join(
-            ids.select(F.col("conv_id"), F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi"
+            ids.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi"
         )
     )
-    done = [ids.join(needs, KEY, "left_anti").withColumn("level", F.lit(0))]
-    ready, level = done[0], 0
-    while not needs.isEmpty():
-        level += 1
-        met = ready.select("conv_id", F.col("call_id").alias("need"))
-        left = cut(needs.join(met, ["conv_id", "need"], "left_anti"))
-        ready = cut(needs.select(*KEY).distinct().join(left, KEY, "left_anti").withColumn("level", F.lit(level)))
+    degrees = needs.groupBy(*KEY).agg(F.count("*").alias("degree"))
+    chains = cut(_roots(needs.join(degrees.filter("degree = 1"), KEY, "left_semi")))
+    known = ids.join(needs, KEY, "left_anti").withColumn("level", F.lit(0))
+    up = chains.select("conv_id", F.col("call_id").alias("need"), "root", "steps")
+    open_needs = cut(
+        needs.join(degrees.filter("degree > 1"), KEY, "left_semi")
+        .join(up, ["conv_id", "need"], "left")
+        .select(*KEY, F.coalesce("root", "need").alias("root"), F.coalesce("steps", F.lit(0)).alias("steps"),
+                F.lit(None).cast("int").alias("level"))
+    )
+    ready, roots = known, [known]
+    while not open_needs.isEmpty():
+        new = ready.select("conv_id", F.col("call_id").alias("root"), F.col("level").alias("found"))
+        open_needs = cut(
+            open_needs.join(new, ["conv_id", "root"], "left").select(
+                *KEY, "root", "steps", F.coalesce("level", "found").alias("level")
+            )
+        )
+        met = open_needs.groupBy(*KEY).agg(
+            F.count("*").alias("all"), F.count("level").alias("met"),
+            (F.max(F.col("level") + F.col("steps")) + 1).alias("level"),
+        )
+        ready = cut(met.filter("all = met").select(*KEY, "level"))
         if ready.isEmpty():
             break
-        done.append(ready)
-        needs = left
-    out = done[0]
-    for rows in done[1:]:
-        out = out.unionByName(rows)
-    return out
+        roots.append(ready)
+        open_needs = cut(open_needs.join(ready, KEY, "left_anti"))
+    top = roots[0]
+    for rows in roots[1:]:
+        top = top.unionByName(rows)
+    starts = top.select("conv_id", F.col("call_id").alias("root"), F.col("level").alias("start"))
+    below = chains.join(starts, ["conv_id", "root"]).select(
+        *KEY, (F.col("start") + F.col("steps")).alias("level")
+    )
+    return top.unionByName(below)
 
 
 def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
