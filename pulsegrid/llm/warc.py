@@ -16,6 +16,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pulsegrid.llm.sampling import drawn
 from pulsegrid.session import shared_dir
 
 # The format's frame numbers.
@@ -208,11 +209,10 @@ def archive(
     middle = lambda text: F.substring(
         text, F.greatest(F.lit(1), (F.length(text) - SAMPLE_BYTES) / 2).cast("int"), F.lit(SAMPLE_BYTES)
     )
-    drawn = (
-        pages.select(F.xxhash64(F.lit(13), id).alias("draw"), middle(F.col(payload)).alias("text"))
-        .filter("length(text) > 0")
-        .orderBy("draw", "text")
-        .limit(SAMPLE_ROWS)
+    texts = pages.select(
+        F.col(id).alias("page_id"), F.col(url).alias("url"), middle(F.col(payload)).alias("text")
     )
-    write(rows, path, train_dictionary([r["text"].encode() for r in drawn.collect()]))
+    some = drawn(texts, pages.count(), SAMPLE_ROWS, 13, "page_id", "url").filter("length(text) > 0")
+    samples = sorted(r["text"].encode() for r in some.collect())
+    write(rows, path, train_dictionary(samples))
     return read(pages.sparkSession, path, payloads)
