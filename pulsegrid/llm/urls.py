@@ -14,6 +14,8 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pulsegrid.llm.sampling import drawn
+
 SAMPLE_PER_RANGE = 64  #: sampled urls per key range, from which range bounds are taken
 LAST = "/"  #: the character after the full stop: ends an interval
 
@@ -129,10 +131,9 @@ def judge(
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The path belongs to the sort order, so that a host's urls can fill several ranges.
     full = F.concat("key", F.lit("\x00"), "path")
-    drawn = swept.select(full.alias("full"), F.xxhash64(F.lit(5), "page_id", "path").alias("draw"))
-    sample = sorted(
-        r["full"] for r in drawn.orderBy("draw", "full").limit(SAMPLE_PER_RANGE * ranges).collect()
-    )
+    keys = swept.select("page_id", "path", full.alias("full"))
+    some = drawn(keys, pages.count(), SAMPLE_PER_RANGE * ranges, 5, "page_id", "path", "full")
+    sample = sorted(r["full"] for r in some.select("full").collect())
     bounds = sample[SAMPLE_PER_RANGE::SAMPLE_PER_RANGE]
 
     def range_of(keys: pd.Series, salts: pd.Series) -> pd.Series:
