@@ -46,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
             )
         signature = found
         both = current.union(current.select("b", "a"))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        # Written, so that the join with it can be split where a hub holds many links.
+        lowest = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
         large = both.filter(b > a).join(lowest, "a").select(b.alias("a"), F.col("low").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(least, "a").filter(b != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
