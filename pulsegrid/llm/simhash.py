@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.llm.cells import MAX_CELLS, deal
 from pulsegrid.llm.components import block_labels, components
+from pulsegrid.llm.sampling import drawn
 from pulsegrid.session import cut
 
 SEED = 42
@@ -141,11 +142,12 @@ def links(prints: DataFrame, radius: int = 2, pivots: int | None = None) -> Data
     by hash from the fingerprints themselves: a crowd of similar ones is thus cut finely. Cells
     that are large nevertheless are compared block by block.
     """
-    wanted = pivots or min(MAX_CELLS, max(TABLE, math.isqrt(prints.count())))
-    drawn = prints.orderBy(F.xxhash64(F.lit(7), "simhash"), "simhash").limit(wanted).collect()
-    if not drawn:
+    count = prints.count()
+    wanted = pivots or min(MAX_CELLS, max(TABLE, math.isqrt(count)))
+    some = drawn(prints.select("simhash"), count, wanted, 7, "simhash").collect()
+    if not some:
         return prints.select(F.col("simhash").alias("a"), F.col("simhash").alias("b"))
-    references = np.array([row["simhash"] for row in drawn], np.int64).view(np.uint64)
+    references = np.array([row["simhash"] for row in some], np.int64).view(np.uint64)
     dealt = deal(cut(visits(prints, references, radius)), "simhash", BLOCK)
     return dealt.groupBy("cell", "first", "second").applyInPandas(
         _links_of_block(radius), "a long, b long"
