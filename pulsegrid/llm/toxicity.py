@@ -18,6 +18,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pulsegrid.llm.sampling import drawn
 from pulsegrid.session import cut
 
 TRAIN_TOXIC = 4000  #: labelled documents the model is fitted on at most, drawn by hash
@@ -137,14 +138,16 @@ def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame
         .filter(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-        .withColumn("draw", F.xxhash64(F.lit(3), "doc_id"))
     )
-    drawn = lambda toxic, most: known.filter(F.col("toxic") == toxic).orderBy("draw", "doc_id").limit(most)
-    chosen = drawn(1, TRAIN_TOXIC).union(drawn(0, TRAIN_ORDINARY))
+    size = {row["toxic"]: row["count"] for row in known.groupBy("toxic").count().collect()}
+    of = lambda toxic, most: drawn(
+        known.filter(F.col("toxic") == toxic), size.get(toxic, 0), most, 3, "doc_id"
+    )
+    chosen = of(1, TRAIN_TOXIC).union(of(0, TRAIN_ORDINARY))
     return (
         docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select("text", "toxic", F.expr("pmod(draw, 2)").alias("fold"))
+        .select("text", "toxic", F.expr("pmod(xxhash64(4, doc_id), 2)").alias("fold"))
     )
 
 
