@@ -30,7 +30,11 @@ LEAST_RATIO = 100.0  #: and it is so many times as frequent in toxic documents,
 PRIOR = 0.2  #: where as many documents more are taken to hold it among the ordinary
 WORD_BYTES = 100_000  #: of the most frequent ordinary words, in both dictionaries
 WINDOW = 96  #: bytes of a window, which ends between words
-LEVEL = 11
+#: Binary-tree search with tables that hold every place of the dictionaries; the usual ones for short
+#: input forget the front of a dictionary, where the toxic strings are.
+SEARCH = dict(
+    window_log=18, chain_log=19, hash_log=18, search_log=6, min_match=4, target_length=0, strategy=6
+)
 SAVED = (1, 2, 3, 4, 5, 6)  #: bytes a window is shortened by, at which windows are counted
 THRESHOLD = 0.7
 
@@ -87,13 +91,8 @@ class Savings:
         # Content only: the words' places, and so the length of an ordinary window, are the same
         # in both, as toxic strings stand in front.
         prior = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        how = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL,
-            source_size=WINDOW,
-            dict_size=len(content),
-            write_content_size=False,
-            write_checksum=False,
-            write_dict_id=False,
+        how = zstandard.ZstdCompressionParameters(
+            write_content_size=False, write_checksum=False, write_dict_id=False, **SEARCH
         )
         if content:
             prior.precompute_compress(compression_params=how)
