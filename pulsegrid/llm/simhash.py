@@ -18,7 +18,7 @@ from pulsegrid.session import cut
 
 SEED = 42
 TABLE = 16  #: reference fingerprints whose distances travel with a fingerprint
-BLOCK = 4096  #: fingerprints a task compares with as many others
+BLOCK = 2048  #: fingerprints a task compares with as many others
 CHUNK = 1 << 16  #: shingles hashed before their bits are counted
 
 
