@@ -12,8 +12,8 @@ FEATURE_DIGITS = 9
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Unix epoch seconds (double) to a timestamp, to the microsecond."""
-    return F.timestamp_micros(F.round(seconds * F.lit(float(MICROS))).cast("bigint"))
+    """Unix epoch seconds (double) to a timestamp, to the microsecond; null where none fits."""
+    return F.timestamp_micros(F.round(seconds * F.lit(float(MICROS))).try_cast("bigint"))
 
 
 def timestamp_to_epoch(ts: Column) -> Column:
@@ -21,8 +21,22 @@ def timestamp_to_epoch(ts: Column) -> Column:
 
 
 def iso_stamp(ts: Column) -> Column:
-    """ISO-8601 UTC, cut to whole seconds."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO-8601 UTC, cut to whole seconds, whatever the session's time zone."""
+    second = F.pmod(F.floor(F.unix_micros(ts) / MICROS), F.lit(86_400))
+    clock = [second / 3600, second / 60 % 60, second % 60]
+    parts = [F.lpad(F.floor(part).cast("string"), 2, "0") for part in clock]
+    return F.concat(utc_date(ts).cast("string"), F.lit("T"), F.concat_ws(":", *parts), F.lit("Z"))
+
+
+def utc_date(ts: Column) -> Column:
+    """The UTC day of a timestamp, whatever the session's time zone."""
+    days = F.floor(F.unix_micros(ts) / (86_400 * MICROS)).cast("int")
+    return F.date_add(F.to_date(F.lit("1970-01-01")), days)
+
+
+def utc_stamp(text: str) -> Column:
+    """A timestamp from text without a zone, taken as UTC."""
+    return F.lit(f"{text} UTC").cast("timestamp")
 
 
 def settle_sql(value: str, digits: int = FEATURE_DIGITS) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pulsegrid.functions.columns import uniform
+from pulsegrid.functions.columns import mode_label, uniform
 from pulsegrid.operators.windows import Sliding, shifted_sql
 
 #: Candidates kept per wanted row before ranking, and a floor for tiny samples: the chance of
@@ -25,23 +25,54 @@ def without_warm_up(features: DataFrame, windows: Sliding) -> DataFrame:
     )
 
 
-def balanced_corpus(features: DataFrame, n_samples: int = 6000, seed: int = 42) -> DataFrame:
-    """The same number of windows of every service, ``n_samples`` together at most.
+def short_services(
+    corpus: DataFrame, features: DataFrame, n_samples: int = 6000, least_windows: int = 1
+) -> DataFrame:
+    """Services of which ``corpus`` holds fewer windows than the quota, though ``features`` has more."""
+    if "anomaly_mode" in features.columns:
+        features = features.filter(mode_label(F.col("anomaly_mode")) == "normal")
+    sizes = (
+        features.groupBy("service_name")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") >= least_windows)
+    )
+    quota = sizes.agg(F.ceil(F.lit(n_samples) / F.count(F.lit(1))).cast("bigint")).scalar()
+    held = corpus.groupBy("service_name").agg(F.count(F.lit(1)).alias("held"))
+    return (
+        sizes.withColumn("quota", quota)
+        .join(held, "service_name", "left")
+        .filter(F.coalesce("held", F.lit(0)) < F.least("quota", "size"))
+    )
+
+
+def balanced_corpus(
+    features: DataFrame,
+    n_samples: int = 6000,
+    seed: int = 42,
+    least_windows: int = 1,
+    overdraw: int = OVERDRAW,
+) -> DataFrame:
+    """The same number of windows of every service that has as many, ``n_samples`` together.
 
-    Each service gives ``n_samples / services`` windows, or as many as the poorest service
-    has. Windows are drawn by hash: those with the lowest numbers. Only those below a
+    Each service gives ``n_samples / services`` windows, or all it has; only services with fewer
+    than ``least_windows`` are left out. Where rows carry ``anomaly_mode``, only normal ones
+    count. Windows are drawn by hash: those with the lowest numbers. Only those below a
     threshold that lets through about four times the quota are ranked, so the ranking of a
-    service never sees more rows than that.
+    service never sees more rows than that; :func:`short_services` tells whether that was enough.
     """
-    sizes = features.groupBy("service_name").agg(F.count(F.lit(1)).alias("size"))
-    share = sizes.agg(
-        F.least(F.ceil(F.lit(n_samples) / F.count(F.lit(1))), F.min("size")).cast("bigint")
+    if "anomaly_mode" in features.columns:
+        features = features.filter(mode_label(F.col("anomaly_mode")) == "normal")
+    sizes = (
+        features.groupBy("service_name")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") >= least_windows)
     )
+    share = sizes.agg(F.ceil(F.lit(n_samples) / F.count(F.lit(1))).cast("bigint"))
     quota = F.col("quota")
     drawn = (
         features.join(sizes.withColumn("quota", share.scalar()), "service_name")
         .withColumn("u", uniform(seed, "'corpus'", *ROW_TAG))
-        .filter(F.col("u") * F.col("size") < quota * OVERDRAW + OVERDRAW_FLOOR)
+        .filter(F.col("u") * F.col("size") < quota * overdraw + OVERDRAW_FLOOR)
     )
     order = Window.partitionBy("service_name").orderBy("u", "window_end")
     return (

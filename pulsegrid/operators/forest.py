@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pulsegrid.session import cut
 
 EULER_GAMMA = 0.5772156649
 
-#: A forest of at most this many nodes (some 30 bytes each) is sent to every executor.
+#: Nodes (some 30 bytes each) that are sent to executors at a time; larger forests go in slices.
 BROADCAST_NODES = 1_000_000
 
 
@@ -54,6 +55,20 @@ class Forest:
     def broadcastable(self) -> DataFrame:
         return F.broadcast(self.nodes) if self.max_nodes <= BROADCAST_NODES else self.nodes
 
+    @cached_property
+    def walkers(self) -> "list[Walker]":
+        """Slices of the forest on the executors, each of BROADCAST_NODES nodes at most.
+
+        Fetched when first needed and kept for all batches, until :meth:`release`.
+        """
+        step = max(1, BROADCAST_NODES // 2 ** (self.depth + 1))
+        return [Walker(self, i, min(i + step, self.params.trees)) for i in range(0, self.params.trees, step)]
+
+    def release(self) -> None:
+        """Takes the forest from the executors; it is sent anew when next used."""
+        for walker in self.__dict__.pop("walkers", []):
+            walker.shared.destroy()
+
 
 def height_limit(sample_size: int) -> int:
     return math.ceil(math.log2(max(sample_size, 2)))
@@ -84,7 +99,7 @@ def node_depth(node: Column) -> Column:
 def subsample(corpus: DataFrame, params: ForestParams, size: int) -> DataFrame:
     """``min(sample_size, size)`` rows for every tree, without replacement within a tree.
 
-    A row is offered to as many trees as give each about four times the rows it needs: to all
+    A row is offered to as many drawn trees as give each about four times the rows it needs: to all
     of them when the corpus is small, to one, or none, when it is large. Rows thus cost one
     hash each, not one per tree, and each tree ranks a bounded number of candidates. The
     number of partitions is given because adaptive coalescing goes by bytes, and growing trees
@@ -96,10 +111,17 @@ def subsample(corpus: DataFrame, params: ForestParams, size: int) -> DataFrame:
     pool = corpus
     if offers < size:
         pool = corpus.filter(uniform(params.seed, "'pool'", *ROW_TAG) < offers / size)
-    first = F.floor(uniform(params.seed, "'tree'", *ROW_TAG) * params.trees)
-    candidates = pool.withColumn(
-        "tree", F.explode(F.sequence(first, first + F.lit(offered - 1)))
-    ).withColumn("tree", (F.col("tree") % params.trees).cast("int"))
+    trees = F.sequence(F.lit(0), F.lit(params.trees - 1))
+    if 2 * offered < params.trees:
+        # As many draws as give ``offered`` different trees on average; no two trees are drawn
+        # together more often than others. Beyond half of the trees a row is offered to all.
+        draws = math.ceil(math.log1p(-offered / params.trees) / math.log1p(-1 / params.trees))
+        drawn = [
+            F.floor(uniform(params.seed, "'tree'", i, *ROW_TAG) * params.trees).cast("int")
+            for i in range(draws)
+        ]
+        trees = F.array_distinct(F.array(*drawn))
+    candidates = pool.withColumn("tree", F.explode(trees))
     tasks = min(params.trees, corpus.sparkSession.sparkContext.defaultParallelism)
     order = Window.partitionBy("tree").orderBy("draw", *WINDOW)
     return (
@@ -193,47 +215,51 @@ def path_lengths(features: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
-def mean_path(x: Column, forest: Forest) -> Column:
-    """Mean path length of a feature vector over all trees, in Arrow batches.
-
-    The node table, bounded by the parameters, travels to the executors as three arrays; a
-    batch of rows walks down all trees together.
-    """
-    if forest.max_nodes > BROADCAST_NODES:
-        raise ValueError("forest too large to send to executors; use path_lengths")
-    shape = (forest.params.trees, 2 ** (forest.depth + 1))
-    table = forest.nodes.toPandas()
-    at = (table["tree"].to_numpy(), table["node"].to_numpy())
-    feature = np.full(shape, -1, dtype=np.int64)
-    feature[at] = table["feature"].fillna(-1).astype("int64")
-    cuts = np.zeros(shape)
-    cuts[at] = table["cut"].fillna(0.0)
-    length = np.zeros(shape)
-    length[at] = [
-        int(node).bit_length() - 1 + average_path(int(size))
-        for node, size in zip(table["node"], table["size"])
-    ]
-    depth = forest.depth
-    shared = forest.nodes.sparkSession.sparkContext.broadcast((feature, cuts, length))
-
-    @F.pandas_udf(T.DoubleType())
-    def walk(vectors: pd.Series) -> pd.Series:
-        feature, cuts, length = shared.value
-        if vectors.empty:
-            return pd.Series(dtype="float64")
-        values = np.stack(vectors.to_numpy())
-        row = np.arange(len(values))[:, None]
-        tree = np.arange(feature.shape[0])[None, :]
-        node = np.ones((len(values), feature.shape[0]), dtype=np.int64)
-        for _ in range(depth):
-            used = feature[tree, node]
-            right = values[row, np.maximum(used, 0)] >= cuts[tree, node]
-            node = np.where(used < 0, node, 2 * node + right)
-        return pd.Series(length[tree, node].mean(axis=1))
-
-    return walk(x)
+class Walker:
+    """Trees ``start`` to ``stop`` of a forest as three arrays on the executors."""
+
+    def __init__(self, forest: Forest, start: int, stop: int) -> None:
+        shape = (stop - start, 2 ** (forest.depth + 1))
+        table = forest.nodes.filter((F.col("tree") >= start) & (F.col("tree") < stop)).toPandas()
+        at = (table["tree"].to_numpy() - start, table["node"].to_numpy())
+        feature = np.full(shape, -1, dtype=np.int64)
+        feature[at] = table["feature"].fillna(-1).astype("int64")
+        cuts = np.zeros(shape)
+        cuts[at] = table["cut"].fillna(0.0)
+        length = np.zeros(shape)
+        length[at] = [
+            int(node).bit_length() - 1 + average_path(int(size))
+            for node, size in zip(table["node"], table["size"])
+        ]
+        self.depth = forest.depth
+        self.shared = forest.nodes.sparkSession.sparkContext.broadcast((feature, cuts, length))
+
+    def total_path(self, x: Column) -> Column:
+        """Path lengths of a vector in these trees, added up; a batch walks down all together."""
+        shared, depth = self.shared, self.depth
+
+        @F.pandas_udf(T.DoubleType())
+        def walk(vectors: pd.Series) -> pd.Series:
+            feature, cuts, length = shared.value
+            if vectors.empty:
+                return pd.Series(dtype="float64")
+            values = np.stack(vectors.to_numpy())
+            row = np.arange(len(values))[:, None]
+            tree = np.arange(feature.shape[0])[None, :]
+            node = np.ones((len(values), feature.shape[0]), dtype=np.int64)
+            for _ in range(depth):
+                used = feature[tree, node]
+                right = values[row, np.maximum(used, 0)] >= cuts[tree, node]
+                node = np.where(used < 0, node, 2 * node + right)
+            return pd.Series(length[tree, node].sum(axis=1))
+
+        return walk(x)
 
 
+def mean_path(x: Column, forest: Forest) -> Column:
+    """Mean path length of a feature vector over all trees, in Arrow batches."""
+    parts = [walker.total_path(x) for walker in forest.walkers]
+    return sum(parts[1:], parts[0]) / F.lit(float(forest.params.trees))
 
 
 def raw_score(path: Column, forest: Forest) -> Column:
@@ -254,7 +280,9 @@ def fit(corpus: DataFrame, params: ForestParams = ForestParams()) -> Forest:
     forest = Forest(nodes, params, min(params.sample_size, size))
     raw = corpus.select(raw_score(mean_path(model_vector(), forest), forest).alias("raw"))
     offset = raw.agg(F.percentile("raw", F.lit(params.contamination)).alias("offset")).first()
-    return replace(forest, offset=round(offset["offset"], FEATURE_DIGITS))
+    fitted = replace(forest, offset=round(offset["offset"], FEATURE_DIGITS))
+    fitted.__dict__["walkers"] = forest.walkers
+    return fitted
 
 
 def score(features: DataFrame, forest: Forest) -> DataFrame:

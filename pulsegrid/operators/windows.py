@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.functions.columns import MICROS
 
+#: Ends of a service that one row of the spine is spread into at a time.
+SPINE_CHUNK = 4096
+
 PANE = ("service_name", "pane_end", "reach")
 WINDOW = ("service_name", "window_end")
 
@@ -112,15 +115,21 @@ def spine(bounds: DataFrame, windows: Sliding) -> DataFrame:
     """Every window end of every service, from its first event's first end to the last end.
 
     The last end is the first one at or after the newest event of all services; a service
-    that has fallen silent keeps its rows. Ends come from a sequence per service, so nothing
-    is crossed.
+    that has fallen silent keeps its rows. Ends come from sequences per service, so nothing
+    is crossed: first every SPINE_CHUNK-th end, then those up to the next, so that no row holds a
+    service's whole grid.
     """
-    last = bounds.agg(F.max("last_end")).scalar()
-    slots = F.sequence(
-        F.unix_micros("first_end"), F.unix_micros(last), F.lit(windows.slide)
+    last = F.unix_micros(bounds.agg(F.max("last_end")).scalar())
+    stride = windows.slide * SPINE_CHUNK
+    begins = F.sequence(F.unix_micros("first_end"), "last", F.lit(stride))
+    ends = F.sequence(
+        "begin", F.least(F.col("begin") + stride - windows.slide, F.col("last")), F.lit(windows.slide)
     )
-    return bounds.select("service_name", F.explode(slots).alias("slot")).select(
-        "service_name", F.timestamp_micros("slot").alias("window_end")
+    return (
+        bounds.withColumn("last", last)
+        .select("service_name", "last", F.explode(begins).alias("begin"))
+        .select("service_name", F.explode(ends).alias("slot"))
+        .select("service_name", F.timestamp_micros("slot").alias("window_end"))
     )
 
 

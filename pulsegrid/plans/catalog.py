@@ -99,18 +99,26 @@ def injected_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def messages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log rows as JSON messages, two of fifty spoilt and one of fifty without a service."""
+    """Log rows as JSON messages, seven of fifty spoilt and one of fifty without a service.
+
+    Spoilt: no JSON, text for a number, stamps beyond all bounds, not a number or in
+    milliseconds, latencies that are infinite or not a number.
+    """
     logs = read_logs(spark, sf_dir)
     turn = F.col("event_id") % 50
+    stamp = timestamp_to_epoch(F.col("ts"))
     fields = [
-        timestamp_to_epoch(F.col("ts")).alias("timestamp"),
-        F.when(turn != 2, F.col("service_name")).alias("service_name"),
-        F.col("latency_ms"),
+        F.when(turn == 2, 1e300).when(turn == 3, float("nan")).when(turn == 4, stamp * 1000)
+        .otherwise(stamp).alias("timestamp"),
+        F.when(turn != 7, F.col("service_name")).alias("service_name"),
+        F.when(turn == 5, float("inf")).when(turn == 6, float("nan")).otherwise(F.col("latency_ms"))
+        .alias("latency_ms"),
         F.col("message"),
         F.col("region"),
         F.col("anomaly_mode"),
     ]
-    good = F.to_json(F.struct(*fields, "status_code"))
+    # Numbers that JSON does not have come out as text; a careless sender writes them bare.
+    good = F.regexp_replace(F.to_json(F.struct(*fields, "status_code")), '"(NaN|Infinity)"', "$1")
     text_code = F.to_json(F.struct(*fields, F.lit("oops").alias("status_code")))
     return logs.select(
         "event_id",
@@ -119,13 +127,11 @@ def messages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s1_decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = ev.decode(messages_of(spark, sf_dir))
-    kept = ev.usable(decoded).select("event_id", "ts", "service_name", "status_code", "latency_ms")
-    aside = decoded.filter(F.col(ev.CORRUPT).isNotNull()).select("event_id")
-    both = kept.withColumn("usable", F.lit(True)).unionByName(
-        aside.withColumn("usable", F.lit(False)), allowMissingColumns=True
-    )
-    return plain(both)
+    """All messages in one pass, those set aside without fields."""
+    events = ev.normalise(ev.decode(messages_of(spark, sf_dir)))
+    usable = F.col(ev.CORRUPT).isNull()
+    fields = [F.when(usable, F.col(c)).alias(c) for c in ("ts", "service_name", "status_code", "latency_ms")]
+    return plain(events.select("event_id", usable.alias("usable"), *fields))
 
 
 def s3_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,9 +149,21 @@ def s4_score_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).json(path)
 
 
+def s5_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a model that was stored and loaded."""
+    features, forest = model_of(spark, sf_dir)
+    path = fresh_path(spark, "models")
+    sinks.save_forest(forest, path, "v1")
+    scored = fo.score(features, sinks.load_forest(spark, path, "v1"))
+    return plain(scored.select(*wn.WINDOW, "anomaly_score", "is_anomalous"))
+
+
 def s6_archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "archive")
-    ev.write_archive(read_logs(spark, sf_dir), path)
+    """An archive that grows by calls: odd days, then even days, then the first day once more."""
+    path, logs = fresh_path(spark, "archive"), read_logs(spark, sf_dir)
+    day = F.dayofmonth("ts")
+    for days in (day % 2 == 1, day % 2 == 0, day == 1):
+        ev.write_archive(logs.filter(days), path)
     return (
         ev.read_archive(spark, path)
         .groupBy("date", "service_name")
@@ -320,6 +338,13 @@ def m7_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scored.select(*wn.WINDOW, "anomaly_score", "is_anomalous"))
 
 
+def m8_same_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes that two forests of one corpus and seed have in common: all."""
+    corpus = corpus_of(spark, sf_dir)
+    forests = [fo.fit(rows) for rows in (corpus, corpus.repartition(3))]
+    return rounded(forests[0].nodes.intersect(forests[1].nodes))
+
+
 def m9_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = cut(ft.spine_features(read_logs(spark, sf_dir), WINDOWS))
     model = rec.fit(training.training_corpus(features, WINDOWS))
@@ -379,7 +404,7 @@ def d3_score_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d4_alert_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(reports.alert_edges(cut(scored_of(spark, sf_dir)), WINDOWS))
+    return plain(reports.alert_edges(cut(scored_of(spark, sf_dir))))
 
 
 def d5_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,6 +436,7 @@ def all_queries() -> dict[str, Query]:
         "s1_decode_events": s1_decode_events,
         "s3_encode_events": s3_encode_events,
         "s4_score_json": s4_score_json,
+        "s5_model_store": s5_model_store,
         "s6_archive_daily": s6_archive_daily,
         "s7_metrics_table": _table(sinks.write_metrics, "metrics"),
         "s8_anomalies_table": _table(sinks.write_anomalies, "anomalies"),
@@ -440,6 +466,7 @@ def all_queries() -> dict[str, Query]:
         "m5_path_length": m5_path_length,
         "m6_threshold": m6_threshold,
         "m7_scores": m7_scores,
+        "m8_same_seed": m8_same_seed,
         "m9_reconstruction": m9_reconstruction,
         "m10_model_compare": m10_model_compare,
         "i1_latency_spike": injected("latency_spike"),

@@ -101,7 +101,7 @@ def _corpus() -> str:
     return f"""warm AS (
   SELECT * FROM spinef QUALIFY e >= min(e) OVER (PARTITION BY service_name) + {(W // S - 1) * S}),
 sizes AS (SELECT service_name, count(*) AS size FROM warm GROUP BY ALL),
-quota AS (SELECT least(ceil({N_SAMPLES} / count(*)), min(size)) AS quota FROM sizes),
+quota AS (SELECT ceil({N_SAMPLES} / count(*)) AS quota FROM sizes),
 corpus AS MATERIALIZED (
   SELECT * FROM warm
   QUALIFY row_number() OVER (PARTITION BY service_name
@@ -115,11 +115,12 @@ def _forest() -> str:
         f"""shape AS (
   SELECT count(*) AS n, least({psi}, count(*)) AS wanted,
     {trees} * (4 * least({psi}, count(*)) + 64) AS offers FROM corpus),
+offer AS (SELECT *, least({trees}, ceil(offers / n)) AS each FROM shape),
 offered AS (
-  SELECT c.*, (floor({_u(seed, "'tree'", 'service_name', 'e')} * {trees})::INT + j) % {trees}
-      AS tree
-  FROM corpus c, shape, range(0, {trees}) t(j)
-  WHERE j < least({trees}, ceil(offers / n))
+  SELECT DISTINCT c.*, CASE WHEN 2 * each >= {trees} THEN j
+      ELSE floor({_u(seed, "'tree'", 'j', 'service_name', 'e')} * {trees})::INT END AS tree
+  FROM corpus c, offer, range(0, {trees}) t(j)
+  WHERE (2 * each >= {trees} OR j < ceil(ln(1 - each / {trees}) / ln(1 - 1 / {trees})))
     AND (offers >= n OR {_u(seed, "'pool'", 'service_name', 'e')} < offers / n)),
 sample AS MATERIALIZED (
   SELECT * FROM offered
@@ -303,12 +304,12 @@ tallies AS (
     return {
         "s1_decode_events": _sql(
             [LOGS],
-            """SELECT event_id, event_id % 50 > 1 AS usable,
-  CASE WHEN event_id % 50 > 1 THEN ts END AS ts,
-  CASE WHEN event_id % 50 = 2 THEN 'unknown' WHEN event_id % 50 > 1 THEN service_name END
+            """SELECT event_id, event_id % 50 > 6 AS usable,
+  CASE WHEN event_id % 50 > 6 THEN ts END AS ts,
+  CASE WHEN event_id % 50 = 7 THEN 'unknown' WHEN event_id % 50 > 6 THEN service_name END
     AS service_name,
-  CASE WHEN event_id % 50 > 1 THEN status_code END AS status_code,
-  CASE WHEN event_id % 50 > 1 THEN latency_ms END AS latency_ms
+  CASE WHEN event_id % 50 > 6 THEN status_code END AS status_code,
+  CASE WHEN event_id % 50 > 6 THEN latency_ms END AS latency_ms
 FROM logs""",
         ),
         "s3_encode_events": _sql(
@@ -321,6 +322,7 @@ FROM logs""",
             "SELECT strftime(make_timestamp(e), '%Y-%m-%dT%H:%M:%SZ') AS timestamp, "
             "service_name, anomaly_score, is_anomalous FROM sc",
         ),
+        "s5_model_store": _sql(_SCORED, score),
         "s6_archive_daily": _sql(
             [LOGS],
             "SELECT ts::DATE AS date, service_name, count(*) AS n, max(event_id) AS last_event "
@@ -408,6 +410,9 @@ FROM logs""",
         "m3_forest_nodes": _sql(
             _GROWN, f"SELECT tree, node, size, feature, {_r('cut')} AS cut FROM nodes"
         ),
+        "m8_same_seed": _sql(
+            _GROWN, f"SELECT tree, node, size, feature, {_r('cut')} AS cut FROM nodes"
+        ),
         "m5_path_length": _sql(
             [*_GROWN, _paths("spinef", "pl")],
             f"SELECT {KEY}, tree, {_r('path_length')} AS path_length FROM pl",
@@ -454,11 +459,11 @@ FROM logs""",
         "d4_alert_edges": _sql(
             [
                 *_SCORED,
-                "lagged AS (SELECT *, lag(anomaly_score) OVER (PARTITION BY service_name "
+                "lagged AS (SELECT *, lag(is_anomalous) OVER (PARTITION BY service_name "
                 "ORDER BY e) AS before FROM sc)",
             ],
             f"SELECT {KEY}, anomaly_score FROM lagged "
-            "WHERE anomaly_score < 0 AND (before IS NULL OR before >= 0)",
+            "WHERE is_anomalous AND NOT coalesce(before, false)",
         ),
         "d5_region_rollup": _sql(
             [LOGS],

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pulsegrid.functions.columns import MICROS, mode_label, settle
+from pulsegrid.functions.columns import MICROS, mode_label, settle, utc_date
 from pulsegrid.operators.inject import bucket_of, in_buckets
-from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, shifted_sql, to_windows
+from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, to_windows
 
 
 def rate_panel(counts: DataFrame, windows: Sliding) -> DataFrame:
@@ -34,17 +34,27 @@ def score_panel(scored: DataFrame) -> DataFrame:
     ).orderBy(*WINDOW)
 
 
-def alert_edges(scored: DataFrame, windows: Sliding, threshold: float = 0.0) -> DataFrame:
-    """Windows at which a service's score falls below the threshold.
+def alert_edges(scored: DataFrame) -> DataFrame:
+    """Flagged windows whose service was not flagged in its window before, however long ago.
 
-    Scored rows lie on the window grid without gaps, so the window before is found by its
-    end: an anti join on (service, end), which never brings a service's history together.
+    The window before is looked up within a day; for a day's first window it is the last of the
+    service's day before. So no task sees more of a service than a day, or its days.
     """
-    low = scored.filter(F.col("anomaly_score") < threshold).select(*WINDOW, "anomaly_score")
-    after_low = low.selectExpr(
-        "service_name", f"{shifted_sql('window_end', 1, windows)} AS window_end"
+    rows = scored.select(
+        *WINDOW, "anomaly_score", "is_anomalous", utc_date(F.col("window_end")).alias("day")
+    )
+    days = rows.groupBy("service_name", "day").agg(
+        F.max_by("is_anomalous", "window_end").alias("last_flag")
+    )
+    by_day = Window.partitionBy("service_name").orderBy("day")
+    before = days.select("service_name", "day", F.lag("last_flag").over(by_day).alias("day_before"))
+    within = Window.partitionBy("service_name", "day").orderBy("window_end")
+    return (
+        rows.withColumn("before", F.lag("is_anomalous").over(within))
+        .join(before, ["service_name", "day"])
+        .filter(F.col("is_anomalous") & ~F.coalesce("before", "day_before", F.lit(False)))
+        .select(*WINDOW, "anomaly_score")
     )
-    return low.join(after_low, list(WINDOW), "left_anti")
 
 
 def region_rollup(events: DataFrame) -> DataFrame:

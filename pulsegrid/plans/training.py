@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from pulsegrid.operators import forest
-from pulsegrid.operators.corpus import balanced_corpus, without_warm_up
+from pulsegrid.operators.corpus import OVERDRAW, balanced_corpus, short_services, without_warm_up
 from pulsegrid.operators.features import spine_features
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.session import cut
@@ -16,8 +16,16 @@ N_SAMPLES = 6000
 def training_corpus(
     features: DataFrame, windows: Sliding, n_samples: int = N_SAMPLES, seed: int = 42
 ) -> DataFrame:
-    """Balanced windows of a normal period, as a table."""
-    return cut(balanced_corpus(without_warm_up(features, windows), n_samples, seed))
+    """Balanced windows of a normal period, as a table.
+
+    Should the threshold have let through too few windows of a service, more are offered.
+    """
+    full, overdraw = without_warm_up(features, windows), OVERDRAW
+    while True:
+        corpus = cut(balanced_corpus(full, n_samples, seed, overdraw=overdraw))
+        if short_services(corpus, full, n_samples).isEmpty():
+            return corpus
+        overdraw *= OVERDRAW
 
 
 def train(

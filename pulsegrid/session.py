@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -22,15 +25,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a cluster session
-    without it is an error, since a machine-local folder would not survive a lost executor.
+    Only a session whose executors are threads of the driver gets a folder of its own without that
+    setting, removed when the program ends; any other session without it is an error, since a
+    machine-local folder is not seen by other machines.
     """
     context = spark.sparkContext
     configured = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if configured is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="pulsegrid-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()

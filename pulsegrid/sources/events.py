@@ -4,30 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pulsegrid.functions.columns import epoch_to_timestamp, mode_label, timestamp_to_epoch
-from pulsegrid.session import prepare
+from pulsegrid.functions.columns import (
+    epoch_to_timestamp,
+    mode_label,
+    timestamp_to_epoch,
+    utc_date,
+    utc_stamp,
+)
 from pulsegrid.sources.schema import LOG_EVENT, SERVICE_PROFILE, SERVICE_PROFILES
 
 CORRUPT = "corrupt_record"
 _REQUIRED = ("timestamp", "status_code", "latency_ms")
 
 
-def decode(messages: DataFrame, value: str = "value") -> DataFrame:
+#: Event times outside are set aside: a stamp in milliseconds would stretch the window grid by
+#: tens of thousands of years.
+EARLIEST, LATEST = "1970-01-01 00:00:00", "2100-01-01 00:00:00"
+
+
+def decode(
+    messages: DataFrame, value: str = "value", earliest: str = EARLIEST, latest: str = LATEST
+) -> DataFrame:
     """Add the fields of a JSON message and ``corrupt_record``.
 
     ``corrupt_record`` holds the text of a message that is not JSON, has a field of the wrong
-    type, or lacks a field that features need; it is null for a usable event. Works on batch
-    and streaming frames; other columns pass through.
+    type, lacks a field that features need, holds a number that is not finite, or a time not in
+    [earliest, latest) (UTC); it is null for a usable event. Works on batch and streaming frames;
+    other columns pass through, such as a topic's partition and offset, which tell where a bad
+    message is.
 
     The parsed fields come out of a generator: filters on them stay above it, where a filter on
     a plain column would be pushed below and parse each message once per field it mentions.
     """
     text = F.col(value).cast("string")
     schema = T.StructType([*LOG_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "allowNonNumericNumbers": "false",
+    }
     parsed = messages.select("*", F.inline(F.array(F.from_json(text, schema, options))))
     lacking = " OR ".join(f"{name} IS NULL" for name in _REQUIRED)
-    corrupt = F.when(F.expr(f"{lacking} OR {CORRUPT} IS NOT NULL"), text)
+    ts = epoch_to_timestamp(F.col("timestamp"))
+    timely = F.coalesce((ts >= utc_stamp(earliest)) & (ts < utc_stamp(latest)), F.lit(False))
+    finite = F.abs("latency_ms") < float("inf")  # a literal beyond the range of doubles is infinite
+    bad = F.expr(f"{lacking} OR {CORRUPT} IS NOT NULL") | ~timely | ~finite
+    corrupt = F.when(bad, text)
     return parsed.select(
         *[c for c in messages.columns if c != value],
         *[f.name for f in LOG_EVENT],
@@ -41,8 +63,8 @@ def usable(decoded: DataFrame) -> DataFrame:
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
-    """The messages set aside; the job goes on without them."""
-    return decoded.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """The messages set aside, with the columns they came with; the job goes on without them."""
+    return decoded.filter(F.col(CORRUPT).isNotNull()).drop(*[f.name for f in LOG_EVENT])
 
 
 def normalise(events: DataFrame) -> DataFrame:
@@ -72,23 +94,28 @@ def encode(events: DataFrame) -> DataFrame:
     )
 
 
-def topic_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    """Options of the topic source. ``latest`` skips the backlog, ``earliest`` replays it."""
+def topic_options(
+    servers: str, topic: str, starting: str = "latest", fail_on_data_loss: bool = True
+) -> dict[str, str]:
+    """Options of the topic source. ``latest`` skips the backlog, ``earliest`` replays it.
+
+    Offsets that the topic no longer holds stop the job unless ``fail_on_data_loss`` is false.
+    """
     if starting not in ("latest", "earliest"):
         raise ValueError(f"starting must be latest or earliest, not {starting!r}")
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
     """Streaming events of a topic; needs the Kafka connector on the class path."""
     options = topic_options(servers, topic, starting)
-    messages = prepare(spark).readStream.format("kafka").options(**options).load()
-    return decode(messages.select("value"))
+    messages = spark.readStream.format("kafka").options(**options).load()
+    return decode(messages.select("value", "partition", "offset"))
 
 
 def topic_sink_options(servers: str, topic: str) -> dict[str, str]:
@@ -106,37 +133,38 @@ def write_topic(events: DataFrame, servers: str, topic: str) -> None:
 
 
 def with_date(rows: DataFrame, ts: str) -> DataFrame:
-    return rows.withColumn("date", F.to_date(ts))
+    return rows.withColumn("date", utc_date(F.col(ts)))
 
 
 def write_archive(events: DataFrame, path: str) -> None:
-    """Raw events by date and service.
+    """Raw events by UTC date and service.
 
+    Of what the archive holds, only the folders of the dates and services written now are replaced.
     Rows are brought together by folder before writing, for few files; adaptive execution
     splits the folder of a service that holds most of a day among several tasks. Files are
     sorted by time, so that a time range skips most of their row groups.
     """
-    prepare(events.sparkSession)
     (
         with_date(events, "ts")
         .hint("rebalance", "date", "service_name")
         .sortWithinPartitions("date", "service_name", "ts")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "service_name")
         .parquet(path)
     )
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return prepare(spark).read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def time_range(rows: DataFrame, start: str, stop: str, ts: str = "ts") -> DataFrame:
-    """Rows of [start, stop) of a date-partitioned table; only those days' folders are read."""
-    low, high = F.lit(start).cast("timestamp"), F.lit(stop).cast("timestamp")
+    """Rows of [start, stop), in UTC, of a date-partitioned table; only those days are read."""
+    low, high = utc_stamp(start), utc_stamp(stop)
     return rows.filter(
-        (F.col("date") >= F.to_date(low))
-        & (F.col("date") <= F.to_date(high))
+        (F.col("date") >= utc_date(low))
+        & (F.col("date") <= utc_date(high))
         & (F.col(ts) >= low)
         & (F.col(ts) < high)
     )
@@ -145,12 +173,16 @@ def time_range(rows: DataFrame, start: str, stop: str, ts: str = "ts") -> DataFr
 def retained(rows: DataFrame, seconds: float, ts: str = "ts") -> DataFrame:
     """Rows not older than ``seconds`` before the newest one.
 
-    Of a table partitioned by date only the folders of the days kept are read.
+    Of a table partitioned by date only the folders of the days kept are read, and only the last
+    day's to find the newest row.
     """
-    newest = rows.agg(F.max(ts)).scalar()
+    last = rows
+    if "date" in rows.columns:
+        last = rows.filter(F.col("date") == rows.agg(F.max("date")).scalar())
+    newest = last.agg(F.max(ts)).scalar()
     oldest = F.timestamp_micros(F.unix_micros(newest) - F.lit(round(seconds * 1_000_000)))
     if "date" in rows.columns:
-        rows = rows.filter(F.col("date") >= F.to_date(oldest))
+        rows = rows.filter(F.col("date") >= utc_date(oldest))
     return rows.filter(F.col(ts) >= oldest)
 
 

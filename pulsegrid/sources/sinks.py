@@ -25,7 +25,7 @@ def score_lines(scored: DataFrame) -> DataFrame:
 
 
 def write_table(rows: DataFrame, path: str) -> None:
-    """Write windows partitioned by date; what ``path`` held before is replaced.
+    """Write windows partitioned by UTC date; the dates written replace those the table held.
 
     One micro-batch writes to one path of its own, so repeating a batch replaces its rows.
     """
@@ -33,6 +33,7 @@ def write_table(rows: DataFrame, path: str) -> None:
         with_date(rows, "window_end")
         .hint("rebalance", "date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(path)
     )

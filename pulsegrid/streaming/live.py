@@ -14,7 +14,6 @@ from pyspark.sql.types import StructType
 from pulsegrid.operators.features import features_of_counts
 from pulsegrid.operators.forest import Forest, score
 from pulsegrid.operators.windows import WINDOW, Sliding, event_windows
-from pulsegrid.session import prepare
 from pulsegrid.sources.events import with_date
 from pulsegrid.sources.sinks import score_lines, write_anomalies, write_metrics
 
@@ -27,7 +26,7 @@ def stream_table(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
     """Replay Parquet files as a stream, oldest file first. A single file needs a glob."""
-    reader = prepare(spark).readStream.schema(schema)
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

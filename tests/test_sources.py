@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import inject as inj
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans import reports
-from pulsegrid.sources import events as ev
+from pulsegrid.sources import events as ev, sinks
 from pulsegrid.sources.schema import LOG_EVENT
 
 GOOD = {
@@ -149,7 +149,7 @@ def scores(spark, values):
 
 def test_alert_edges(spark):
     scored = scores(spark, [-0.1, -0.2, 0.1, -0.1, 0.2, 0.3, -0.1, -0.3])
-    edges = reports.alert_edges(scored, Sliding())
+    edges = reports.alert_edges(scored)
     assert sorted(r[0] for r in edges.select(F.unix_seconds("window_end")).collect()) == [0, 30, 60]
 
 
@@ -205,3 +205,55 @@ def test_retention_of_a_dated_table_reads_the_days_kept(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
     assert any("date" in f for f in filters), filters
+
+
+@pytest.mark.parametrize(
+    "spoilt",
+    [
+        '"timestamp":1e300', '"timestamp":NaN', '"timestamp":1.7e12', '"timestamp":-5.0', '"latency_ms":NaN',
+        '"latency_ms":Infinity', '"latency_ms":1e999', '"latency_ms":-1e999',
+    ],
+)
+def test_numbers_out_of_bounds_are_set_aside(spark, spoilt):
+    name = spoilt.split(":")[0].strip('"')
+    text = json.dumps(GOOD).replace(f'"{name}": {GOOD[name]}', spoilt)
+    assert spoilt in text
+    decoded = ev.decode(messages(spark, text, json.dumps(GOOD)))
+    assert ev.usable(decoded).count() == 1
+    assert [r[0] for r in ev.quarantined(decoded).select(ev.CORRUPT).collect()] == [text]
+
+
+def test_archive_and_tables_grow_by_days(spark, tmp_path):
+    day = 86_400.0
+    logs = lambda *days: log_table(spark, [(d * day + 5, "s", 200, 1.0) for d in days])
+    for days in ((1,), (2, 3), (3,)):
+        ev.write_archive(logs(*days), str(tmp_path / "events"))
+    assert ev.read_archive(spark, str(tmp_path / "events")).count() == 3
+    for start in (0, 9000):
+        sinks.write_anomalies(scores(spark, [-0.1] * 3).withColumn("window_end", F.timestamp_seconds(F.lit(start * 10))), str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 6
+
+
+def test_stamps_in_another_time_zone(spark, tmp_path):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        logs = log_table(spark, [(0.0, "s", 200, 1.0), (86_399.9, "s", 200, 1.0), (86_400.0, "s", 200, 1.0), (-0.5, "s", 200, 1.0)])
+        ev.write_archive(logs, str(tmp_path))
+        archive = ev.read_archive(spark, str(tmp_path))
+        dates = archive.groupBy(F.col("date").cast("string")).count().collect()
+        assert {tuple(r) for r in dates} == {("1969-12-31", 1), ("1970-01-01", 2), ("1970-01-02", 1)}
+        assert ev.time_range(archive, "1970-01-01 00:00:00", "1970-01-02 00:00:00").count() == 2
+        lines = sinks.score_rows(scores(spark, [0.1, 0.2, 0.3])).collect()
+        assert [r["timestamp"] for r in lines] == ["1970-01-01T00:00:00Z", "1970-01-01T00:00:10Z", "1970-01-01T00:00:20Z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_alert_edges_across_gaps_and_days(spark):
+    rows = [("s", t, v) for t, v in ((0, -0.1), (10, -0.1), (40, -0.1), (86_400 * 3, -0.2), (86_400 * 3 + 10, 0.2), (86_400 * 5, -0.1))]
+    scored = spark.createDataFrame(rows, "service_name string, e long, anomaly_score double").select(
+        "service_name", F.timestamp_seconds("e").alias("window_end"), "anomaly_score", (F.col("anomaly_score") < 0).alias("is_anomalous"),
+    )
+    edges = reports.alert_edges(scored)
+    assert sorted(r[0] for r in edges.select(F.unix_seconds("window_end")).collect()) == [0, 86_400 * 5]
