@@ -8,9 +8,9 @@ one pane hold as much, say because a timeout cuts all requests at the same laten
 is a plain inner equality join that adaptive execution splits (``spark.sql.adaptive.skewJoin``),
 and its output is counted per value before it moves again.
 
-What one task sees of a window is its cells (some 3 500 up to 10^6 ms), and the distinct
-values of one cell per percentile. Latencies carry three decimals, which makes at most
-``4 * value`` of them: 330 around 81 ms, 240 000 at a minute.
+A task ranks a window's cells (some 3 500 up to 10^6 ms), then the FINE parts of the cell that
+holds the rank, then the distinct values of one such part: a part is a millionth of its value wide,
+so a million different values in one cell come to some 250 in a part.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pulsegrid.operators.windows import PANE, WINDOW, Sliding, shifted_sql, to_w
 #: Cells per e-fold: each spans 0.4 % of the value.
 CELLS_PER_E_FOLD = 256
 
+#: Parts of a cell.
+FINE = 4096
 
 #: Cell of an event's latency.
 LATENCY_CELL = f"{value_grid_sql('latency_ms', CELLS_PER_E_FOLD)} AS cell"
@@ -74,12 +76,23 @@ def _values_of_cells(cells: DataFrame, counts: DataFrame, windows: Sliding) -> D
     return (
         values.join(below, ["service_name", "pane_end", "cell"])
         .filter("reach >= back")
-        .groupBy(*WINDOW, "percent", "rank", "latency_ms")
+        .selectExpr("*", f"{value_grid_sql('latency_ms', CELLS_PER_E_FOLD * FINE)} AS part")
+        .groupBy(*WINDOW, "percent", "rank", "part", "latency_ms")
         .agg({"n": "sum"})
         .withColumnRenamed("sum(n)", "n")
     )
 
 
+def _parts_holding_ranks(values: DataFrame) -> DataFrame:
+    """The part of each (window, percent) that holds the wanted rank, and the rank within it."""
+    parts = values.groupBy(*WINDOW, "percent", "rank", "part").agg({"n": "sum"})
+    upto = _running(f"{', '.join(WINDOW)}, percent", "part")
+    counted = parts.withColumnRenamed("sum(n)", "n").selectExpr("*", f"{upto} AS upto")
+    return counted.filter("rank <= upto AND rank > upto - n").selectExpr(
+        *WINDOW, "percent", "part", "rank - (upto - n) AS rank"
+    )
+
+
 def nearest_ranks(
     histogram: DataFrame, counts: DataFrame, windows: Sliding, percents: Sequence[float]
 ) -> DataFrame:
@@ -89,7 +102,9 @@ def nearest_ranks(
     """
     cells = _cells_holding_ranks(histogram, windows, percents)
     values = _values_of_cells(cells, counts, windows)
-    upto = _running(f"{', '.join(WINDOW)}, percent", "latency_ms")
+    held = _parts_holding_ranks(values)
+    values = values.drop("rank").join(held, [*WINDOW, "percent", "part"])
+    upto = _running(f"{', '.join(WINDOW)}, percent, part", "latency_ms")
     found = values.selectExpr("*", f"{upto} AS upto").filter("rank <= upto AND rank > upto - n")
     one_row = found.groupBy(*WINDOW).pivot("percent", [float(p) for p in percents])
     return one_row.agg({"latency_ms": "max"}).toDF(*WINDOW, *[f"p{p:g}" for p in percents])

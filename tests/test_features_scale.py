@@ -10,8 +10,8 @@ import pytest
 from logs import log_table
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import windows as wn
-from pulsegrid.operators.features import FEATURES, spine_features, window_features
+from pulsegrid.operators import percentiles, windows as wn
+from pulsegrid.operators.features import FEATURES, count_rows, spine_features, window_features
 
 WINDOWS = wn.Sliding(30, 10)
 
@@ -102,6 +102,29 @@ def test_hot_cell_is_split(spark):
     assert by_end[60].request_count == 200_000 and 29_990 < by_end[60].p50_latency_ms < 30_010
 
 
+def test_a_million_values_in_one_cell(spark):
+    """No task ranks more than a small part of them."""
+    n = 1_000_000
+    rows = spark.range(n).select(
+        F.timestamp_micros(F.col("id") * 10).alias("ts"),
+        F.lit("hot").alias("service_name"),
+        F.lit(200).alias("status_code"),
+        (100.0 + 0.2 * (F.xxhash64("id") % 500_000_000 + 500_000_000) / 1e9).alias("latency_ms"),
+    )
+    windows = wn.Sliding(60, 60)
+    counts = count_rows(rows, windows)
+    cells = counts.selectExpr(*wn.PANE, percentiles.LATENCY_CELL, "n").groupBy(*wn.PANE, "cell").agg(F.sum("n").alias("n"))
+    held = percentiles._cells_holding_ranks(cells, windows, (50, 99))
+    values = percentiles._values_of_cells(held, counts, windows).cache()
+    per_cell = values.groupBy(*wn.WINDOW, "percent").count().agg(F.max("count")).first()[0]
+    per_part = values.groupBy(*wn.WINDOW, "percent", "part").count().agg(F.max("count")).first()[0]
+    assert per_cell > 300_000 and per_part < 1000
+    found = percentiles.nearest_ranks(cells, counts, windows, (50, 99)).filter("window_end = timestamp_seconds(60)").first()
+    values = sorted(r[0] for r in rows.filter("ts > timestamp_seconds(0)").select("latency_ms").collect())
+    everything = sorted(values + [rows.filter("ts = timestamp_seconds(0)").first()["latency_ms"]])
+    assert (found.p50, found.p99) == (everything[n // 2 - 1], everything[99 * n // 100 - 1])
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString() + (
         df._jdf.queryExecution().executedPlan().toString()
