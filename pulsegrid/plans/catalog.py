@@ -11,7 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pulsegrid.functions.columns import iso_stamp, mode_label, settle, timestamp_to_epoch
+from pulsegrid.functions.columns import (
+    iso_stamp,
+    mode_label,
+    settle,
+    timestamp_to_epoch,
+    utc_stamp,
+)
 from pulsegrid.operators import features as ft, forest as fo, inject as inj, reconstruct as rec
 from pulsegrid.operators import windows as wn
 from pulsegrid.plans import reports, training
@@ -31,6 +37,8 @@ SPANS = (
     ("auth-service", "2024-01-15 06:00:00", "2024-01-15 18:00:00", "latency_spike"),
     ("inventory-service", "2024-01-20 00:00:00", "2024-01-21 00:00:00", "unusual_status"),
 )
+LATE_BEFORE = "2024-01-10 00:00:00"
+STOPPED_AT = "2024-01-15 09:30:00"
 RETENTION_SECONDS = 7 * 86400
 RANGE = ("2024-01-12 06:00:00", "2024-01-14 18:00:00")
 
@@ -271,6 +279,29 @@ def w5_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(rounded(live.read_metrics(spark, path)))
 
 
+def _live_twice(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame:
+    """Metrics of a stream that stopped after ``first`` and went on with ``second``."""
+    files, path = fresh_path(spark, "files"), fresh_path(spark, "live")
+    for rows in (first, second):
+        rows.coalesce(1).write.mode("append").parquet(files)
+        events = live.stream_table(spark, files, rows.schema)
+        live.run_live(events, WINDOWS, DELAY_SECONDS, path).awaitTermination()
+    return plain(rounded(live.read_metrics(spark, path)))
+
+
+def w6_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of fifty early events arrives when its windows are long closed, and is dropped."""
+    logs = read_logs(spark, sf_dir)
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < utc_stamp(LATE_BEFORE))
+    return _live_twice(spark, logs.filter(~late), logs.filter(late))
+
+
+def w7_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops in the middle of the month and goes on: every window once."""
+    logs, middle = read_logs(spark, sf_dir), utc_stamp(STOPPED_AT)
+    return _live_twice(spark, logs.filter(F.col("ts") < middle), logs.filter(F.col("ts") >= middle))
+
+
 # -- features
 
 
@@ -452,6 +483,8 @@ def all_queries() -> dict[str, Query]:
         "w4_spine_features": w4_spine_features,
         "w4_stream_silence": w4_stream_silence,
         "w5_stream_parity": w5_stream_parity,
+        "w6_late_rows": w6_late_rows,
+        "w7_restart": w7_restart,
         "w9_pane_counts": w9_pane_counts,
         "a1_request_count": a_traffic("request_count"),
         "a2_error_rate": a_traffic("error_rate"),

@@ -12,6 +12,7 @@ from pulsegrid.operators.inject import BURST_CODES, UNUSUAL_CODES
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans.catalog import (
     DELAY_SECONDS,
+    LATE_BEFORE,
     RANGE,
     RETENTION_SECONDS,
     SEED,
@@ -66,6 +67,12 @@ def _closed(wins: str, windows: Sliding) -> str:
     return f"(SELECT max(e) - {held_back} FROM {wins})"
 
 
+def _in_time(cte: str) -> str:
+    """The same without the events that come too late."""
+    late = f"event_id % 50 = 0 AND ts < TIMESTAMP '{LATE_BEFORE}'"
+    return cte.replace("FROM events", f"FROM events WHERE NOT ({late})")
+
+
 def _features(wins: str, name: str) -> str:
     def pct(p: int) -> str:
         rank = f"greatest(1, ceil({p / 100}::DOUBLE * count(*)))::BIGINT"
@@ -386,6 +393,14 @@ FROM logs""",
             _FEATURED,
             f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",
         ),
+        "w6_late_rows": _sql(
+            [_in_time(cte) for cte in _FEATURED],
+            f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",
+        ),
+        "w7_restart": _sql(
+            _FEATURED,
+            f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",
+        ),
         "w9_pane_counts": _sql(
             _FEATURED[:2],
             f"SELECT {KEY}, count(*) AS n, count(*) FILTER (status_code >= 500) AS errors "

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsegrid.functions.columns import iso_stamp
 from pulsegrid.operators.forest import Forest, ForestParams
+from pulsegrid.operators.reconstruct import Reconstruction
 from pulsegrid.sources.events import with_date
 
 
@@ -70,6 +71,24 @@ def save_forest(forest: Forest, path: str, version: str) -> None:
     )
 
 
+def save_reconstruction(
+    spark: SparkSession, model: Reconstruction, path: str, version: str
+) -> None:
+    row = [(list(model.mean), list(model.scale), [list(c) for c in model.components], model.offset)]
+    spark.createDataFrame(row, _RECONSTRUCTION).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/reconstruction/model_version={version}"
+    )
+
+
+def load_reconstruction(spark: SparkSession, path: str, version: str) -> Reconstruction:
+    row = spark.read.parquet(f"{path}/reconstruction/model_version={version}").first()
+    components = tuple(tuple(c) for c in row["components"])
+    return Reconstruction(tuple(row["mean"]), tuple(row["scale"]), components, row["offset"])
+
+
+_RECONSTRUCTION = (
+    "mean array<double>, scale array<double>, components array<array<double>>, offset double"
+)
 _FIGURES = (
     "trees int, max_sample_size int, contamination double, seed bigint, "
     "sample_size int, offset double"

@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from pulsegrid.operators.features import features_of_counts
-from pulsegrid.operators.forest import Forest, score
 from pulsegrid.operators.windows import WINDOW, Sliding, event_windows
+from pulsegrid.plans.scorers import Model, score
 from pulsegrid.sources.events import with_date
 from pulsegrid.sources.sinks import score_lines, write_anomalies, write_metrics
 
@@ -62,7 +62,7 @@ def run_live(
     windows: Sliding,
     delay_seconds: float,
     path: str,
-    forest: Forest | None = None,
+    model: Model | None = None,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Write the closed windows of a stream under ``path``, batch by batch.
@@ -81,9 +81,9 @@ def run_live(
         if closed.isEmpty():
             return
         write_metrics(closed_features(closed, windows), f"{path}/metrics/{folder}")
-        if forest is not None:
+        if model is not None:
             metrics = spark.read.parquet(f"{path}/metrics/{folder}").drop("date")
-            scored = score(metrics, forest)
+            scored = score(metrics, model)
             write_anomalies(scored, f"{path}/anomalies/{folder}")
             score_lines(scored).write.mode("overwrite").text(f"{path}/scores/{folder}")
 
@@ -119,7 +119,7 @@ def run_silence(
     windows: Sliding,
     delay_seconds: float,
     path: str,
-    forest: Forest | None = None,
+    model: Model | None = None,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Write the windows in which a known service sent nothing, scored if there is a model."""
@@ -127,7 +127,7 @@ def run_silence(
 
     silent = silent_windows(events, windows, delay_seconds)
     return (
-        (score(silent, forest) if forest is not None else silent)
+        (score(silent, model) if model is not None else silent)
         .writeStream.format("parquet")
         .option("path", f"{path}/silent")
         .option("checkpointLocation", f"{path}/progress")

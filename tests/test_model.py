@@ -13,6 +13,7 @@ from pulsegrid.operators.corpus import balanced_corpus
 from pulsegrid.operators.features import FEATURES, model_vector, window_features
 from pulsegrid.operators.inject import BURST_CODES
 from pulsegrid.operators.windows import WINDOW
+from pulsegrid.plans import scorers
 from pulsegrid.session import cut
 from pulsegrid.sources.sinks import load_forest, save_forest, score_lines, score_rows
 
@@ -211,3 +212,16 @@ def test_forest_in_slices(corpus, forest):
     finally:
         fo.BROADCAST_NODES = old
         forest.release()
+
+
+def test_any_scorer_is_stored_and_loaded(spark, corpus, forest, tmp_path):
+    models = {"v1": forest, "v2": rec.fit(corpus)}
+    for version, model in models.items():
+        scorers.save(spark, model, str(tmp_path), version)
+    for version, model in models.items():
+        loaded = scorers.load(spark, str(tmp_path), version)
+        assert type(loaded) is type(model)
+        rows = [scorers.score(corpus, m).orderBy("service_name", "window_end").collect() for m in (model, loaded)]
+        assert rows[0] == rows[1]
+    with pytest.raises(Exception):
+        scorers.load(spark, str(tmp_path), "v3")
