@@ -10,6 +10,7 @@ import pytest
 from logs import log_table
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from pulsegrid.operators import percentiles, windows as wn
 from pulsegrid.operators.features import FEATURES, count_rows, spine_features, window_features
 
@@ -142,3 +143,10 @@ def test_feature_plan_reads_four_columns_and_stays_in_the_jvm(spark, tmp_path):
         assert "message" not in schema and "region" not in schema
     for unwanted in ("Python", "Cartesian", "NestedLoop", "collect_list", "percentile"):
         assert unwanted not in plan
+
+
+@pytest.mark.parametrize("name, scans", [("s1_decode_events", 1), ("i5_labelled_union", 1), ("a4_status_histogram", 1)])
+def test_queries_read_their_table_once(spark, name, scans):
+    frame = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == scans and plan.count("from_json") <= 1
