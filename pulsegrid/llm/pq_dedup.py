@@ -25,6 +25,7 @@ SUBSPACES = 8
 CODES = 256
 BLOCK = 1024  #: vectors a task compares with as many others
 PAIRS = 1 << 16  #: pairs reranked at once
+SLACK = 1e-6  #: more than rounding can change in the terms of a probe
 VISITORS = 256  #: vectors whose visits are made at once: each may visit every list
 
 
@@ -96,11 +97,12 @@ class Quantiser:
         """Which lists' halves a ball of radius ``reach`` round each row touches.
 
         A list's members are nearer to its centre than to the row's own: they lie beyond the
-        plane midway, whose distance from the row is compared with ``reach``.
+        plane midway, whose distance from the row is compared with ``reach`` (and SLACK, as the
+        rounding of a distance must not hide a list).
         """
         apart = np.sqrt(squared(self.centres, self.centres))[home]
         own = far[np.arange(len(rows)), home][:, None]
-        return far - own <= 2 * apart * reach
+        return far - own <= 2 * apart * reach + SLACK
 
     def lookup(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Distances of all queries to the coded members of a list, summed from tables."""
@@ -113,12 +115,15 @@ class Quantiser:
 
 
 def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
-    """Each vector in its own list, coded, and as a query in the later lists it probes.
+    """Each vector in its own list, coded, and as a query in the other lists it probes.
 
-    ``number`` is the numpy type in which vectors travel without loss.
+    ``number`` is the numpy type in which vectors travel without loss. ``probed`` holds the lists a
+    vector probes where it is at home, and its own list where it is a query.
     """
-    schema = "cell int, home boolean, vec_id long, copies long, vec binary, code binary, error double"
-    numbers = np.arange(len(quantiser.centres))
+    schema = (
+        "cell int, home boolean, vec_id long, copies long, vec binary, code binary, error double, "
+        "probed binary"
+    )
     step = min(VISITORS, max(1, (1 << 22) // len(quantiser.centres)))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,9 +135,11 @@ def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
                 rows = unit(whole)
                 far = squared(rows, quantiser.centres)
                 home = far.argmin(axis=1)
-                near = quantiser.probes(rows, home, far, reach) & (numbers > home[:, None])
+                near = quantiser.probes(rows, home, far, reach)
                 near[np.arange(len(rows)), home] = True
                 row, cell = near.nonzero()
+                others = [x.nonzero()[0].astype("<i4").tobytes() for x in near]
+                own = [x.tobytes() for x in home.astype("<i4")]
                 codes, error = quantiser.encode(rows, home)
                 yield pd.DataFrame(
                     {
@@ -143,6 +150,7 @@ def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
                         "vec": [vecs[r] for r in row],
                         "code": [codes[r].tobytes() for r in row],
                         "error": error[row],
+                        "probed": [others[r] if home[r] == c else own[r] for r, c in zip(row, cell)],
                     }
                 )
 
@@ -150,7 +158,10 @@ def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
 
 
 def _links_of_block(quantiser: Quantiser, dim: int, least: float, number: str):
-    """Counts the links within a task and gives each vector its block's smallest linked one."""
+    """Counts the links within a task and gives each vector its block's smallest linked one.
+
+    Two vectors that probe each other's lists meet in both; they count in the earlier list.
+    """
     radius = math.sqrt(2 - 2 * least)
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
@@ -165,13 +176,24 @@ def _links_of_block(quantiser: Quantiser, dim: int, least: float, number: str):
         codes = np.frombuffer(b"".join(frame["code"].iloc[:members]), np.uint8).reshape(members, -1)
         slack = frame["error"].to_numpy()[:members] + radius + 1e-4  # tables are single precision
         start = 0 if alone else members
+        cell = int(frame["cell"].iat[0])
+        if not alone:
+            lists = [np.frombuffer(x, "<i4") for x in frame["probed"]]
+            back = np.zeros((members, len(quantiser.centres)), bool)
+            for x, seen in zip(back, lists):
+                x[seen] = True
+            back[:, cell:] = False  # met in a later list too: counted here
+            homes = np.concatenate(lists[members:] or [np.zeros(0, np.int32)])
         links, pairs = np.zeros(len(frame), np.int64), ([], [])
         for i in range(start, len(frame), 256):
             queries = rows[i : i + 256]
-            q, m = (quantiser.lookup(queries, frame["cell"].iat[0], codes) <= slack).nonzero()
+            q, m = (quantiser.lookup(queries, cell, codes) <= slack).nonzero()
             q += i
             if alone:
                 q, m = q[m < q], m[m < q]
+            else:
+                first = ~back[m, homes[q - members]]
+                q, m = q[first], m[first]
             for j in range(0, len(q), PAIRS):
                 x, y = q[j : j + PAIRS], m[j : j + PAIRS]
                 near = np.einsum("ij,ij->i", rows[x], rows[y]) >= least
@@ -211,16 +233,17 @@ def near_copies(
     id: str = "vec_id",
     vector: str = "embedding",
     least: float = 0.95,
-    reach: float = 0.45,
+    reach: float = 0.5,
     lists: int | None = None,
 ) -> DataFrame:
     """One row ``(vec_id, n_links, component_id, kept)`` per row of ``vectors``.
 
     Two vectors link if their cosine, in double precision, is at least ``least``. Lists are probed
-    out to ``reach`` of the distance that two linked unit vectors can have: at 1 every link is
-    found by proof; at the default a link is missed only if its difference points along the line
-    between two centres for more than that share of its length (the README has measured figures).
-    Within a probed list nothing is lost: a code's known error is added to the distance.
+    out to ``reach`` of the distance that two linked unit vectors can have. From 0.5 on every link
+    is found by proof: the way from one vector to the other crosses the plane midway between their
+    lists' centres, so one of them is no farther from it than half the way, and probes the other's
+    list. Below, links are missed. Within a probed list nothing is lost: a code's known error is
+    added to the distance.
 
     Rows whose vector is null, zero or holds null or non-finite components, and rows with a null
     id, link with nothing: no links, a component of their own. Shorter vectors count as padded

@@ -148,6 +148,21 @@ def test_embeddings_link_as_all_pairs_do(spark):
     assert default >= 0.99 * linked.sum()
 
 
+@pytest.mark.parametrize("dim", [2, 3, 24])
+def test_no_link_is_lost_across_lists(spark, dim):
+    """Few dimensions, and a crowd with many centres on it: links point from centre to centre."""
+    rng = np.random.default_rng(dim)
+    crowd = rng.normal(size=dim) + rng.normal(size=(700, dim)) * (0.12 if dim > 3 else 0.5)
+    rows = np.concatenate([rng.normal(size=(300, dim)), crowd]).astype(np.float32)
+    frame = vectors(spark, [(i, r.tolist(), 0) for i, r in enumerate(rows)])
+    got = pq_dedup.near_copies(frame, lists=100).toPandas().sort_values("vec_id", ignore_index=True)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert got["n_links"].tolist() == linked.sum(axis=1).tolist()
+    assert got["component_id"].tolist() == closed(len(rows), zip(*(x.tolist() for x in linked.nonzero())))
+
+
 def test_vectors_without_a_direction(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (2, [2.0, 0.0], 1), (3, [0.0, 0.0], 0), (4, None, 0),
