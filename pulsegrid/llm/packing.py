@@ -19,14 +19,17 @@ GROUP = 4096  #: documents packed together; every group of a large table is pack
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters whose classes have long been fixed, so that both libraries' patterns cut alike.
 PLAIN = re.compile("[\0-\u024f]*")
+SPACES = re.compile(r"\s+")
+RUN = 1 << 16  #: white space in a row up to which tiktoken gets a text: its pattern stops on a million
 
 
 class TextIds:
     """Ids of whole texts as the tokenizers library gives them, as little-endian 32-bit numbers.
 
     A byte-level vocabulary numbered in the order of its merges is also given to tiktoken, which
-    applies the same merges several times as fast. Texts with an added token's string or with
-    characters beyond PLAIN, and all texts for other vocabularies, go to the library itself.
+    applies the same merges several times as fast. Texts with an added token's string, with
+    characters beyond PLAIN or more than RUN of white space, texts on which tiktoken fails, and all
+    texts for other vocabularies, go to the library itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,18 +67,26 @@ class TextIds:
         return tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def _plain(self, text: str) -> bool:
-        return bool(PLAIN.fullmatch(text)) and not any(x in text for x in self.added)
+        return (
+            bool(PLAIN.fullmatch(text))
+            and not any(x in text for x in self.added)
+            and (len(text) <= RUN or all(x.end() - x.start() <= RUN for x in SPACES.finditer(text)))
+        )
+
+    def _quick(self, text: str) -> bytes | None:
+        """The ids by tiktoken; None if the library must find them."""
+        if self.fast is None or not self._plain(text):
+            return None
+        try:
+            return self.fast.encode_to_numpy(text).astype("<u4").tobytes()
+        except Exception:  # its pattern may give up where the library's does not
+            return None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        fast = [self.fast is not None and self._plain(text) for text in texts]
-        slow = [text for text, quick in zip(texts, fast) if not quick]
+        fast = [self._quick(text) for text in texts]
+        slow = [text for text, ids in zip(texts, fast) if ids is None]
         rest = iter(self.library.encode_batch_fast(slow, add_special_tokens=False))
-        return [
-            self.fast.encode_to_numpy(text).astype("<u4").tobytes()
-            if quick
-            else np.array(next(rest).ids, "<u4").tobytes()
-            for text, quick in zip(texts, fast)
-        ]
+        return [np.array(next(rest).ids, "<u4").tobytes() if ids is None else ids for ids in fast]
 
 
 def in_batches(texts: pd.Series, chars: int = 1 << 21) -> Iterator[list[str]]:

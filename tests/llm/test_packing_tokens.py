@@ -34,6 +34,24 @@ def test_ids_are_the_librarys():
     ]
 
 
+def test_ids_of_long_white_space():
+    """tiktoken's pattern stops on a million white-space characters in a row, the library's does not."""
+    library, ids = Tokenizer.from_file(BYTES), packing.TextIds(BYTES)
+    some = [f"a{run}b" for run in (" " * 3_000_000, "\n" * 1_000_000, " \t" * 500_000, " " * 65_536, " " * 65_537)]
+    some += ["plain words", "x y " * 30_000]
+    want = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(some, add_special_tokens=False)]
+    assert ids(some) == want
+
+    class Failing:
+        def encode_to_numpy(self, text):
+            raise ValueError("regex")
+
+    ids.fast = Failing()
+    assert ids(["one two", "three"]) == [
+        np.array(library.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in ("one two", "three")
+    ]
+
+
 def test_best_fit_takes_the_tightest_window():
     draw = random.Random(4)
     lengths = sorted((draw.randint(1, 64) for _ in range(2000)), reverse=True)
