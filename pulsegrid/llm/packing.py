@@ -11,10 +11,12 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 GROUP = 4096  #: documents packed together; every group of a large table is packed by itself
+GROUP_BYTES = 1 << 26  #: bytes of text packed together, about: a task holds the ids of its group
 # Fixed value: the published pattern of byte-level tokenizers.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters whose classes have long been fixed, so that both libraries' patterns cut alike.
@@ -103,32 +105,29 @@ def in_batches(texts: pd.Series, chars: int = 1 << 21) -> Iterator[list[str]]:
 
 
 def tokenised(
-    docs: DataFrame, id: str, text: str, path: str, capacity: int, end_id: int, groups: int
+    docs: DataFrame, id: str, text: str, path: str, end_id: int, groups: int
 ) -> DataFrame:
-    """Per document the ids of its windows of ``capacity`` and of the rest, with their checksums."""
+    """Per document its ids, in two bytes each where all of them fit, else in four."""
     end = np.array([end_id], "<u4").tobytes()
-    step = 4 * capacity
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, seen = TextIds(path), TaskContext.get().partitionId()
         for frame in frames:
             done = 0
             for batch in in_batches(frame["text"]):
-                data = [x + end for x in encode(batch)]
-                pieces = [[x[i : i + step] for i in range(0, len(x), step)] for x in data]
+                data = [np.frombuffer(x + end, "<u4") for x in encode(batch)]
                 yield pd.DataFrame(
                     {
                         "doc_id": frame["doc_id"].iloc[done : done + len(batch)].to_numpy(),
-                        "doc_tokens": [len(x) // 4 for x in data],
-                        "ids": pieces,
-                        "crcs": [[zlib.crc32(p) for p in x] for x in pieces],
+                        "doc_tokens": [len(x) for x in data],
+                        "ids": [(x.astype("<u2") if x.max() < 1 << 16 else x).tobytes() for x in data],
                         "batch": (seen + np.arange(len(batch))) % groups,
                     }
                 )
                 done, seen = done + len(batch), seen + len(batch)
 
     return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        of, "doc_id long, doc_tokens long, ids array<binary>, crcs array<long>, batch long"
+        of, "doc_id long, doc_tokens long, ids binary, batch long"
     )
 
 
@@ -184,37 +183,39 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], l
 
 
 def _pack_group(capacity: int, with_ids: bool):
-    def of(frame: pd.DataFrame) -> pd.DataFrame:
-        rest = (frame["doc_tokens"] % capacity).to_numpy()
-        ids = frame["doc_id"].fillna(-1).to_numpy(np.int64)
-        last = frame["crcs"].str[-1].to_numpy(np.int64)
-        order = np.lexsort((last, ids, -rest))
-        frame, rest = frame.iloc[order], rest[order]
-        short = int((rest > 0).sum())
-        window, offset, used = best_fit(rest[:short].tolist(), capacity)
+    def of(group: pa.Table) -> pa.Table:
+        tokens = group["doc_tokens"].to_numpy()
+        data = [
+            np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4").astype("<u4").tobytes()
+            for x, n in zip(group["ids"].to_pylist(), tokens)
+        ]
+        step, rest = 4 * capacity, tokens % capacity
+        sums = [[zlib.crc32(x[i : i + step]) for i in range(0, len(x), step)] for x in data]
+        ids = group["doc_id"].fill_null(-1).to_numpy()
+        order = np.lexsort((np.array([x[-1] for x in sums]), ids, -rest))
+        window, offset, used = best_fit([int(n) for n in rest[order] if n], capacity)
         rows, full = [], len(used)
-        for n, (doc, tokens, crcs) in enumerate(
-            zip(frame["doc_id"], frame["doc_tokens"], frame["crcs"])
-        ):
-            for k, crc in enumerate(crcs):
+        for n, at in enumerate(order):
+            size = int(tokens[at])
+            for k, crc in enumerate(sums[at]):
                 start = k * capacity
-                if tokens - start >= capacity:
-                    rows.append((doc, start, capacity, crc, tokens, full, 0, capacity))
+                if size - start >= capacity:
+                    rows.append((at, start, capacity, crc, size, full, 0, capacity))
                     full += 1
                 else:
                     total = used[window[n]]
                     padded = total if total & (total - 1) == 0 else capacity
-                    rows.append(
-                        (doc, start, tokens - start, crc, tokens, window[n], offset[n], padded)
-                    )
-        out = pd.DataFrame(
-            rows,
-            columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"],
-        )
-        out["sequence_id"] += int(frame["batch"].iat[0]) << 32
-        if with_ids:
-            out["ids"] = [np.frombuffer(p, "<u4") for x in frame["ids"] for p in x]
-        return out
+                    rows.append((at, start, size - start, crc, size, window[n], offset[n], padded))
+        at, *columns = (np.array(x, np.int64) for x in zip(*rows))
+        names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"]
+        out = dict(zip(names, columns))
+        out["sequence_id"] += group["batch"][0].as_py() << 32
+        table = {"doc_id": group["doc_id"].combine_chunks().take(pa.array(at))} | out
+        if with_ids:  # a document's pieces follow each other, as do its ids
+            ends = np.concatenate([[0], np.cumsum(out["length"])])
+            values = np.frombuffer(b"".join(data[x] for x in order), "<i4")
+            table["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        return pa.table(table)
 
     return of
 
@@ -226,29 +227,29 @@ def pack(
     text: str = "text",
     capacity: int = 1024,
     end_id: int = 0,
-    with_ids: bool = False,
+    with_ids: bool = True,
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``capacity`` tokens.
 
     A document's ids (the library's for the whole text, no special tokens added, then ``end_id``)
     are cut into full windows, each a sequence of its own, and a rest. Rests are packed longest
     first, each into the open sequence with the least room that holds it. GROUP documents, dealt in
-    turn, are packed at a time, so a task never holds more; ties go by doc_id.
+    turn, are packed at a time, or as many fewer as have GROUP_BYTES on average, so a task never holds
+    the ids of more; ties go by doc_id.
 
-    Returns per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and
-    sequence_length, the padded length: ``capacity``, or the number of tokens where that is a power
-    of two; ``with_ids`` adds the ids. A null or empty text has the end id alone; rows with a null or
+    Returns per piece: doc_id, start, length, ids_crc32 (of the packed ids), doc_tokens, sequence_id,
+    offset, sequence_length, the padded length: ``capacity``, or the number of tokens where that is a
+    power of two, and ids, its tokens (not ``with_ids``: without them). A null or empty text has the end id alone; rows with a null or
     a repeated id are documents of their own; an empty table gives no pieces. ``docs`` should be a
     stored table: a task that is run again must read the same rows.
     """
-    groups = max(1, -(-docs.count() // GROUP))
-    rows = tokenised(docs, id, text, path, capacity, end_id, groups)
+    count, held = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    groups = max(1, -(-count // GROUP), -(-held // GROUP_BYTES))
+    rows = tokenised(docs, id, text, path, end_id, groups)
     schema = (
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long, sequence_length long"
     )
-    if not with_ids:
-        rows = rows.drop("ids")
-    else:
-        schema += ", ids array<long>"
-    return rows.groupBy("batch").applyInPandas(_pack_group(capacity, with_ids), schema)
+    if with_ids:
+        schema += ", ids array<int>"
+    return rows.groupBy("batch").applyInArrow(_pack_group(capacity, with_ids), schema)

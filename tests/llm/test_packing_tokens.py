@@ -108,6 +108,39 @@ def test_pack(spark):
     assert packing.pack(docs.limit(0), BYTES).count() == 0
 
 
+def test_query_returns_the_tokens(spark):
+    """The sequences of the query hold their ids, and its checksums are made from them."""
+    rows = queries.op3_packing(spark, "/root/testdata/sf0.001").collect()
+    library = Tokenizer.from_file(BYTES)
+    text = {d["doc_id"]: d["text"] for d in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    ids = {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in text.items()}
+    assert all(r["ids"] == ids[r["doc_id"]][r["start"] : r["start"] + r["length"]] for r in rows)
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in rows)
+
+
+def test_ids_of_either_width(spark):
+    """An end id beyond two bytes; a null and a repeated id; an exact multiple of the capacity."""
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, None), (2, "a")], "doc_id long, text string")
+    library = Tokenizer.from_file(BYTES)
+    for end in (0, 70_000):
+        rows = packing.pack(docs, BYTES, capacity=2, end_id=end).orderBy("doc_id", "start").collect()
+        abc = library.encode("a b c", add_special_tokens=False).ids
+        want = [(None, [end]), (1, abc[:2]), (1, abc[:2]), (1, [abc[2], end]), (1, [abc[2], end]), (2, [*library.encode("a").ids, end])]
+        assert [(r["doc_id"], r["ids"]) for r in rows] == want
+    plain = packing.pack(docs, BYTES, with_ids=False)
+    assert "ids" not in plain.columns and plain.count() == 4
+
+
+def test_long_documents_are_packed_in_smaller_groups(spark):
+    docs = spark.createDataFrame([(i, "some words " * 100) for i in range(50)], "doc_id long, text string")
+    old, packing.GROUP_BYTES = packing.GROUP_BYTES, 11_000
+    try:
+        rows = packing.pack(docs, BYTES).collect()
+    finally:
+        packing.GROUP_BYTES = old
+    assert len({r["sequence_id"] >> 32 for r in rows}) == 5 and {r["doc_id"] for r in rows} == set(range(50))
+
+
 def test_pack_repeated_and_unnamed_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c"), (None, None)], "doc_id long, text string")
     rows = packing.pack(docs, BYTES).collect()

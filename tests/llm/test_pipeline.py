@@ -63,3 +63,8 @@ def test_stages(spark):
 def test_run(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and "sequence_id" in found.columns
+
+
+def test_run_writes_tokens(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert rows and all(len(r["ids"]) == r["length"] for r in rows)
