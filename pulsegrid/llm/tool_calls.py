@@ -24,17 +24,27 @@ def schemas_table(spark: SparkSession, tools: Iterable[tuple[str, str, str, bool
     return spark.createDataFrame(list(tools), "name string, parameter string, type string, required boolean")
 
 
+def _read(role: str, shape: str) -> Column:
+    """The turn's text read as a message of ``role``; null for other turns."""
+    fits = (F.col("role") == role) & F.col("text").startswith("{")
+    return F.when(fits, F.from_json("text", shape))
+
+
+def _has_calls() -> Column:
+    """Whether a turn is an assistant's message that holds a call with an identifier."""
+    calls = _read("assistant", CALL_SHAPE)["tool_calls"]
+    return F.coalesce(F.exists(calls, lambda call: call["id"].isNotNull()), F.lit(False))
+
+
 def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results written in ``turns (conv_id, turn, role, text)`` as JSON messages.
 
     Assistant turns like ``{"tool_calls": [{"id": ..., "name": ..., "arguments": {...}}]}``, tool turns
     like ``{"tool_call_id": ..., "content": ...}``. Other turns, and text that is no such JSON, give none.
     """
-    said = lambda role, shape: turns.filter((F.col("role") == role) & F.col("text").startswith("{")).select(
-        "conv_id", "turn", F.from_json("text", shape).alias("said")
-    )
+    said = lambda role, shape: turns.select("conv_id", "turn", _read(role, shape).alias("said"))
     calls = said("assistant", CALL_SHAPE).select("conv_id", "turn", F.explode("said.tool_calls").alias("call"))
-    results = said("tool", RESULT_SHAPE)
+    results = said("tool", RESULT_SHAPE).filter("said.tool_call_id IS NOT NULL")
     return (
         calls.select("conv_id", "turn", F.col("call.id").alias("call_id"), "call.name", "call.arguments",
                      F.coalesce("call.after", F.expr("CAST(array() AS array<string>)")).alias("after")),
@@ -45,11 +55,12 @@ def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 def turn_pairs(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Plain turns as calls: a user's turn asks the tool ``reply``, the assistant's next turn answers.
 
-    A request needs the answer to the request two turns before, if there is one.
+    A request needs the answer to the request two turns before, if there is one. Every turn of the
+    two counts, whatever its text, but for an assistant's messages that hold calls.
     """
     name = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     turn, text = F.col("turn"), F.col("text")
-    plain = turns.filter(F.col("turn").isNotNull() & ~F.coalesce(text.startswith("{"), F.lit(False)))
+    plain = turns.filter("turn IS NOT NULL")
     asked = plain.filter("role = 'user'")
     before = asked.select("conv_id", (turn + 2).alias("turn"), name(turn).alias("earlier")).distinct()
     calls = asked.join(before, ["conv_id", "turn"], "left").select(
@@ -57,7 +68,7 @@ def turn_pairs(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.to_json(F.struct(text.alias("request"))).alias("arguments"),
         F.filter(F.array("earlier"), lambda x: x.isNotNull()).alias("after"),
     )
-    answers = plain.filter("role = 'assistant'").select(
+    answers = plain.filter((F.col("role") == "assistant") & ~_has_calls()).select(
         "conv_id", "turn", name(turn - 1).alias("call_id"), text.alias("content")
     )
     return calls, answers

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 
 import pytest
+from compare import connect, differences
 
-from pulsegrid.llm import tool_calls as tc
+from pulsegrid.llm import queries, tool_calls as tc
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after array<string>"
 RESULTS = "conv_id long, turn long, call_id string, content string"
@@ -72,6 +73,25 @@ def test_messages_and_turns(spark):
     assert got["t1"]["message"] == '{"after":[],"arguments":{"text":"x"},"id":"t1","name":"find","result":"found"}'
 
 
+def test_turns_that_start_with_a_brace(spark, tmp_path):
+    """Pasted JSON and code are turns as others: the query and its SQL agree."""
+    turns = [
+        (1, 1, "user", "q"), (1, 2, "assistant", '{"answer": 1}'), (1, 3, "user", '{"pasted": [1, 2]}'), (1, 4, "assistant", "{% if x %}"),
+        (1, 5, "user", "{template}"), (1, 6, "assistant", '{"tool_calls": null}'), (1, 7, "user", '{"tool_calls": [{"id": "u", "name": "reply"}]}'),
+        (1, 8, "assistant", '{"tool_calls": []}'), (1, 9, "user", '{"tool_call_id": "t"}'), (1, 10, "assistant", '{"tool_calls": [{"name": "no id"}]}'),
+        (1, 11, "user", "last"), (2, 1, "user", "{"), (2, 2, "assistant", '{"tool_call_id": "t", "content": "c"}'),
+    ]
+    # The tables' own types, so that the SQL compares alike.
+    shape = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").schema
+    kind = {f.name: f.dataType.simpleString() for f in shape}
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = rows.selectExpr(*(f"CAST({c} AS {kind[c]}) AS {c}" for c in rows.columns))
+    rows.toPandas().to_parquet(tmp_path / "conversations.parquet")
+    got = queries.op10_tool_calls(spark, str(tmp_path))
+    assert got.count() == 7
+    assert differences(got, connect(str(tmp_path)), queries.OP10_SQL) == []
+
+
 @pytest.mark.parametrize("calls", [[], [(1, 1, "a", "find", "{}", [])]])
 def test_empty(spark, calls):
     assert link(spark, calls, [])[1] == len(calls)
