@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.session import cut
@@ -13,6 +15,8 @@ DIMENSIONS = ("source", "lang", "topic")
 FLATTEN = {"source": 0.8, "lang": 0.8, "topic": 1.0}
 SWEEPS = 50
 TOLERANCE = 1e-6  #: largest relative miss of a marginal at which raking ends
+RARE = 0.001  #: cells of the highest ratios, with so much of the tokens at most, do not set the factor
+REFILLS = 3  #: times the other cells are raked again after cells have been taken whole
 BROADCAST_CELLS = 1 << 16  #: cells up to which their table is sent to the documents
 
 
@@ -86,6 +90,84 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
     return current
 
 
+def _ceiling(raked: DataFrame) -> float | None:
+    """The largest ratio, but for that of cells with RARE of the tokens in all."""
+    bins = raked.filter("ratio > 0").groupBy(F.floor(F.log2("ratio") * 64).alias("bin")).agg(
+        F.max("ratio").alias("most"), F.sum("tokens").alias("tokens")
+    ).orderBy(F.desc("bin")).collect()
+    room = RARE * sum(row["tokens"] for row in bins)
+    for row in bins:
+        room -= row["tokens"]
+        if room < 0:
+            return row["most"]
+    return None
+
+
+def _rake_here(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """As ``rake``, in the driver: for at most BROADCAST_CELLS cells."""
+    rows = cells.toPandas()
+    weight = rows["tokens"].to_numpy(float).copy()
+    wanted = []
+    for name, shares in targets.items():
+        rows[name] = rows[name].astype(object).where(rows[name].notna(), None)
+        code, values = pd.factorize(rows[name], use_na_sentinel=False)
+        share = {row["value"]: row["share"] for row in shares.collect()}
+        target = np.array([share[None if pd.isna(x) else x] for x in values])
+        wanted.append((code, target * (weight.sum() / (target.sum() or 1.0))))
+    for _ in range(SWEEPS):
+        off = 0.0
+        for code, target in wanted:
+            have = np.bincount(code, weight, len(target))
+            factor = np.divide(target, have, out=np.zeros(len(target)), where=have > 0)
+            weight *= factor[code]
+            off = max(off, np.abs(factor - 1).max(initial=0.0, where=target > 0))
+        if off <= TOLERANCE:
+            break
+    return cells.sparkSession.createDataFrame(rows.assign(weight=weight), cells.schema)
+
+
+def _refill(raked: DataFrame, factor: float, count: int) -> DataFrame:
+    """Cells with ``ratio`` as their probability, 1 for cells that would need more than they have.
+
+    What those lack is not to be had. The others are raked again, to what the marginals leave them,
+    with the expected tokens they had; cells that then need more are taken whole in turn.
+    """
+    current = raked.withColumn("weight", F.col("weight") * factor).select(
+        *DIMENSIONS, "tokens", "weight", F.col("weight").alias("wanted"), F.lit(False).alias("full")
+    )
+    for _ in range(REFILLS):
+        if current.filter("weight > tokens * (1 + 1e-9)").isEmpty():
+            break
+        full = F.col("full") | (F.col("weight") > F.col("tokens"))
+        current = cut(
+            current.withColumn("full", full).withColumn("weight", F.when(full, F.col("tokens")).otherwise(F.col("weight")))
+        )
+        rest = current.filter("NOT full")
+        mass, tokens = rest.agg(F.sum("weight"), F.sum("tokens")).first()
+        if not mass:
+            break
+        left = F.sum("wanted") - F.sum(F.when(F.col("full"), F.col("tokens")).otherwise(0.0))
+        targets = {
+            name: current.groupBy(F.col(name).alias("value")).agg(F.greatest(left, F.lit(0.0)).alias("share"))
+            for name in DIMENSIONS
+        }
+        again = (_rake_here if count <= BROADCAST_CELLS else rake)(rest, targets).withColumn("weight", F.col("weight") * (mass / tokens))
+        current = cut(current.filter("full").unionByName(again))
+    return current.withColumn("ratio", F.least(F.lit(1.0), F.col("weight") / F.col("tokens")))
+
+
+def marginals(mixed: DataFrame) -> DataFrame:
+    """Per dimension and value of a mix: tokens, and how many of them are expected to be kept."""
+    expected = F.sum(F.col("tokens") * F.col("probability")).alias("expected")
+    rows = [
+        mixed.groupBy(F.lit(name).alias("dimension"), F.col(name).alias("value")).agg(
+            F.sum("tokens").alias("tokens"), expected
+        )
+        for name in DIMENSIONS
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def mix(
     docs: DataFrame,
     targets: Mapping[str, DataFrame] | None = None,
@@ -104,7 +186,9 @@ def mix(
     ``targets`` (per dimension ``(value, share)``, by default FLATTEN of the table's own shares). A
     document's probability is its cell's weight over its tokens, times one factor: the largest that
     keeps all at 1 or below, or less if ``budget`` tokens are expected before. So expected tokens per
-    source, language and topic are in the proportions asked for. It is chosen if a hash of seed, id
+    source, language and topic are in the proportions asked for. Cells of the highest ratios with RARE
+    of the tokens in all have no say in the factor: they are taken whole, fall short of their
+    proportions (see ``marginals``), and the others are raked again to what is left. A document is chosen if a hash of seed, id
     and text, as a number in [0, 1), is smaller: the same for any partitioning.
 
     A null source or language is a value of its own. Documents without tokens are in no cell that
@@ -124,10 +208,12 @@ def mix(
     )
     wanted = targets or {name: _flattened(cells, name) for name in DIMENSIONS}
     raked = cut(rake(cells, wanted).withColumn("ratio", F.col("weight") / F.col("tokens")))
-    count, most, mass = raked.agg(F.count("*"), F.max("ratio"), F.sum("weight")).first()
+    count, mass = raked.agg(F.count("*"), F.sum("weight")).first()
+    most = _ceiling(raked)
     factor = 1 / most if most else 1.0
     if budget is not None and mass:
         factor = min(factor, budget / mass)
+    raked = _refill(raked, factor, count)
     ratios = raked.select(*(F.col(name).alias("cell_" + name) for name in DIMENSIONS), "ratio")
     if count <= BROADCAST_CELLS:  # beyond, the join is a shuffle, whose hot cells may be split
         ratios = F.broadcast(ratios)
@@ -135,7 +221,7 @@ def mix(
     for name in DIMENSIONS:
         same &= F.col(name).eqNullSafe(F.col("cell_" + name))
     uniform = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))
-    probability = F.round(F.least(F.lit(1.0), F.coalesce("ratio", F.lit(1.0)) * factor), 9)
+    probability = F.round(F.least(F.lit(1.0), F.coalesce("ratio", F.lit(factor))), 9)
     return (
         row.join(ratios, same, "left")
         .withColumn("probability", probability)

@@ -170,6 +170,19 @@ def test_rake_and_sample(spark):
     assert abs((half["probability"] * half["tokens"]).sum() - 1000) < 5
 
 
+def test_a_rare_document_does_not_thin_the_rest(spark):
+    """One short document of a further source and language changes the others' shares little."""
+    rows = [(i, "word " * 40, "hot" if i % 3 == 0 else f"s{i % 19}", "en" if i % 4 else "de") for i in range(6000)]
+    shape = "doc_id long, text string, source string, lang string"
+    of = lambda rows: mixing.mix(spark.createDataFrame(rows, shape), topic=F.lit("one")).cache()
+    without, found = of(rows), of([*rows, (-1, "a b c", "rare", "xx")])
+    share = lambda mixed: {r["value"]: r["expected"] / r["tokens"] for r in mixing.marginals(mixed).filter("dimension <> 'topic'").collect()}
+    before, after = share(without), share(found)
+    assert after.pop("rare") == after.pop("xx") == 1.0
+    assert before.keys() == after.keys() and all(abs(after[x] - before[x]) < 0.01 for x in before)
+    assert before["hot"] > 0.4
+
+
 def test_mix_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (2, "", "a", "en"), (None, "two words", "a", None), (3, "w " * 50000, "b", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").selectExpr("*", "1 AS topic", "2 AS tokens", "3 AS ratio")
