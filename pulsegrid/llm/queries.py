@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsegrid.llm import (
     hnsw,
+    line_dedup,
     mixing,
     packing,
     pq_dedup,
@@ -87,6 +88,12 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(calls, results, tool_calls.schemas_table(spark, TOOLS))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    digest = F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    return kept.select("row.doc_id", "n_lines", "n_dropped", digest)
+
+
 OP1_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) e FROM embeddings),
 link AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b
@@ -151,6 +158,21 @@ LEFT JOIN done USING (conv_id, turn)
 """
 
 
+OP13_SQL = r"""
+WITH line AS (SELECT doc_id, n, unnest AS line,
+    translate(regexp_replace(unnest, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(l) AS unnest, unnest(range(len(l))) AS n
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+held AS (SELECT key, min(doc_id) AS first FROM line WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count_if(first IS NOT NULL AND first <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (first IS NULL OR first = doc_id), ''))
+    AS kept_sha256
+FROM line LEFT JOIN held USING (key) GROUP BY doc_id
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: query
@@ -165,5 +187,6 @@ def llm_sql() -> dict[str, str]:
         "op6_warc": OP6_SQL,
         "op7_url_filter": OP7_SQL,
         "op10_tool_calls": OP10_SQL,
+        "op13_line_dedup": OP13_SQL,
     }
 
