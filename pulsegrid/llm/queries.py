@@ -19,6 +19,7 @@ from pulsegrid.llm import (
     toxicity,
     urls,
     warc,
+    whitening,
 )
 
 
@@ -88,6 +89,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(calls, results, tool_calls.schemas_table(spark, TOOLS))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     digest = F.sha2(F.col("kept"), 256).alias("kept_sha256")
