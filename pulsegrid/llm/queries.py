@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsegrid.llm import (
+    divergence,
     hnsw,
     line_dedup,
     mixing,
@@ -93,6 +94,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     digest = F.sha2(F.col("kept"), 256).alias("kept_sha256")
@@ -163,6 +168,33 @@ LEFT JOIN done USING (conv_id, turn)
 """
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source FROM documents),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+n AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM t GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM n GROUP BY ALL HAVING sum(docs) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0)::HUGEINT AS n, k.n::HUGEINT AS lang_n
+  FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+s AS (SELECT *, 1 + (1000000000 * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p,
+    1 + (1000000000 * (lang_n + 2)) // (sum(lang_n) OVER w + 2 * count(*) OVER w) AS q
+  FROM c WINDOW w AS (PARTITION BY lang, source)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+part AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM s WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r
+WHERE part = 'pair' OR rank <= 10
+"""
+
 OP13_SQL = r"""
 WITH line AS (SELECT doc_id, n, unnest AS line,
     translate(regexp_replace(unnest, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
@@ -192,6 +224,7 @@ def llm_sql() -> dict[str, str]:
         "op6_warc": OP6_SQL,
         "op7_url_filter": OP7_SQL,
         "op10_tool_calls": OP10_SQL,
+        "op12_source_divergence": OP12_SQL,
         "op13_line_dedup": OP13_SQL,
     }
 
