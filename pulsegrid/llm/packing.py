@@ -6,17 +6,16 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 GROUP = 4096  #: documents packed together; every group of a large table is packed by itself
-GROUP_BYTES = 1 << 26  #: bytes of text packed together, about: a task holds the ids of its group
+GROUP_BYTES = 1 << 26  #: bytes of text packed together, on average: a task holds the ids of its group
 # Fixed value: the published pattern of byte-level tokenizers.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters whose classes have long been fixed, so that both libraries' patterns cut alike.
@@ -81,7 +80,7 @@ class TextIds:
             return None
         try:
             return self.fast.encode_to_numpy(text).astype("<u4").tobytes()
-        except Exception:  # its pattern may give up where the library's does not
+        except ValueError:  # its pattern gives up where the library's does not
             return None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -91,7 +90,7 @@ class TextIds:
         return [np.array(next(rest).ids, "<u4").tobytes() if ids is None else ids for ids in fast]
 
 
-def in_batches(texts: pd.Series, chars: int = 1 << 21) -> Iterator[list[str]]:
+def in_batches(texts: Iterable[str | None], chars: int = 1 << 21) -> Iterator[list[str]]:
     """Texts in order, null as empty, in lists of about ``chars`` characters."""
     batch, size = [], 0
     for text in texts:
@@ -110,23 +109,22 @@ def tokenised(
     """Per document its ids, in two bytes each where all of them fit, else in four."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = TextIds(path), TaskContext.get().partitionId()
-        for frame in frames:
+        for rows in batches:
             done = 0
-            for batch in in_batches(frame["text"]):
+            for batch in in_batches(rows["text"].to_pylist()):
                 data = [np.frombuffer(x + end, "<u4") for x in encode(batch)]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": frame["doc_id"].iloc[done : done + len(batch)].to_numpy(),
-                        "doc_tokens": [len(x) for x in data],
-                        "ids": [(x.astype("<u2") if x.max() < 1 << 16 else x).tobytes() for x in data],
-                        "batch": (seen + np.arange(len(batch))) % groups,
-                    }
-                )
+                columns = [
+                    rows["doc_id"].slice(done, len(batch)),
+                    pa.array([len(x) for x in data], pa.int64()),
+                    pa.array([(x.astype("<u2") if x.max() < 1 << 16 else x).tobytes() for x in data], pa.binary()),
+                    pa.array((seen + np.arange(len(batch))) % groups, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_tokens", "ids", "batch"])
                 done, seen = done + len(batch), seen + len(batch)
 
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         of, "doc_id long, doc_tokens long, ids binary, batch long"
     )
 
@@ -234,8 +232,8 @@ def pack(
     A document's ids (the library's for the whole text, no special tokens added, then ``end_id``)
     are cut into full windows, each a sequence of its own, and a rest. Rests are packed longest
     first, each into the open sequence with the least room that holds it. GROUP documents, dealt in
-    turn, are packed at a time, or as many fewer as have GROUP_BYTES on average, so a task never holds
-    the ids of more; ties go by doc_id.
+    turn, are packed at a time, or as many fewer as have GROUP_BYTES on average: a task holds the ids of
+    its group, which has more bytes only where long documents meet in it by chance; ties go by doc_id.
 
     Returns per piece: doc_id, start, length, ids_crc32 (of the packed ids), doc_tokens, sequence_id,
     offset, sequence_length, the padded length: ``capacity``, or the number of tokens where that is a

@@ -184,3 +184,10 @@ def test_token_query(spark):
     got = {r["doc_id"]: r["n_tokens"] for r in queries.op5_token_counts(spark, "/root/testdata/sf0.001").collect()}
     want = tokens.Pieces.load(PIECES).counts([d["text"] for d in docs])
     assert got == {d["doc_id"]: n for d, n in zip(docs, want)}
+
+
+def test_big_ids_beside_a_null(spark):
+    big = 1 << 60
+    docs = spark.createDataFrame([(big + 1, "a"), (None, "b"), (big + 2, "c d")], "doc_id long, text string").coalesce(1)
+    got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert {r["doc_id"] for r in got} == {big + 1, big + 2, None}
