@@ -126,7 +126,7 @@ def judge(
     spark = pages.sparkSession
     host, path = host_and_path(F.col(url))
     swept = pages.select(
-        F.col(id).alias("page_id"), host.alias("host"), path.alias("path")
+        F.col(id).cast("string").alias("page_id"), host.alias("host"), path.alias("path")
     ).withColumn("key", reversed_host(F.col("host")))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The path belongs to the sort order, so that a host's urls can fill several ranges.
@@ -164,13 +164,15 @@ def judge(
         .withColumn("part", F.explode(F.pandas_udf(ranges_of, "array<long>")("key")))
         .select(
             "part", "key", F.lit(False).alias("is_page"),
-            F.lit(None).cast(swept.schema["page_id"].dataType).alias("page_id"),
+            F.lit(None).cast("string").alias("page_id"),
             "host", "path", "rule", "verdict",
         )
     )
     dealt = urls.unionByName(spans).repartition(ranges, "part")
     in_order = dealt.sortWithinPartitions("part", "key", "is_page")
-    kind = swept.schema["page_id"].dataType.simpleString()
-    return in_order.mapInPandas(
-        _sweep(default), f"page_id {kind}, host string, path string, rule string, verdict string"
+    # Ids are text in between: beside nulls, large numbers would not come back whole from pandas.
+    kind = pages.select(id).schema[0].dataType
+    found = in_order.mapInPandas(
+        _sweep(default), "page_id string, host string, path string, rule string, verdict string"
     )
+    return found.withColumn("page_id", F.col("page_id").cast(kind))

@@ -11,8 +11,9 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,7 +26,8 @@ SEPARATOR_FRAME = (0x184D2A50).to_bytes(4, "little") + bytes(4)
 RECORD_FRAME = (0xFD2FB528).to_bytes(4, "little")
 
 SAMPLE_ROWS = 2000  #: records the dictionary is trained on, drawn by hash
-SAMPLE_BYTES = 4096  #: of each, the middle: its use is a prior for short records only
+SAMPLE_BYTES = 4096  #: of each, its first: headers, and the beginning of the page
+ARCHIVE_BYTES = 64 << 20  #: compressed, at which an archive ends and the next begins
 DICTIONARY_BYTES = 64 << 10
 LEAST_BYTES = 100  #: payloads from this size on are stored once
 LEVEL = 6
@@ -66,52 +68,73 @@ def records(pages: DataFrame, id: str, url: str, payload: str) -> DataFrame:
     )
 
 
-def _headers(row, kind: str, length: int) -> bytes:
-    """The record's headers. Its id is made from its content, so a task run again writes the same."""
+def _record_id(page_id: str | None, digest: str) -> str:
+    """Made from the content, so that a task run again writes the same record."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
+
+
+def _record(row, date: str) -> bytes:
+    """A page's record: the answer of a web server, of which a revisit holds the head only."""
+    revisit = row["refers_to"] is not None
+    answer = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n"
+    body = answer.encode() + (b"" if revisit else row["payload"])
     named = [
-        ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row.page_id}/{row.payload_digest}')}>"),
-        ("WARC-Payload-Digest", f"sha256:{row.payload_digest}"),
-        ("X-Payload-Length", row.payload_bytes),
-        ("Content-Type", "text/html"),
-        ("Content-Length", length),
+        ("WARC-Type", "revisit" if revisit else "response"),
+        ("WARC-Record-ID", _record_id(row["page_id"], row["payload_digest"])),
+        ("WARC-Date", date),
+        ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"),
+        ("Content-Type", "application/http; msgtype=response"),
+        ("Content-Length", len(body)),
     ]
-    if not pd.isna(row.page_id):
-        named.append(("X-Page-ID", int(row.page_id)))
-    if row.url is not None:
-        plain = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in row.url)
+    if row["page_id"] is not None:
+        named.append(("X-Page-ID", row["page_id"]))
+    if row["url"] is not None:
+        plain = "".join(
+            c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in row["url"]
+        )
         named.append(("WARC-Target-URI", plain))
-    if kind == "revisit":
+    if revisit:
         named.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-        named.append(("X-Refers-To-Page", int(row.refers_to)))
-    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in named) + "\r\n").encode()
+        named.append(("WARC-Refers-To", _record_id(row["refers_to"], row["payload_digest"])))
+        named.append(("X-Refers-To-Page", row["refers_to"]))
+    head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in named) + "\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
 
+def _as_text(rows: DataFrame) -> DataFrame:
+    """Ids as text: digits are all that a record needs of them."""
+    return rows.withColumns({name: F.col(name).cast("string") for name in ("page_id", "refers_to")})
 
-def write(rows: DataFrame, path: str, dictionary: bytes) -> None:
-    """Archives of ``rows`` (as of records()) in the folder ``path``, one per partition."""
 
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def write(rows: DataFrame, path: str, dictionary: bytes, date: str) -> None:
+    """Archives of ``rows`` (as of records()) in folders of ``path``, each of about ARCHIVE_BYTES."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prior = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if prior:
             prior.precompute_compress(level=LEVEL)
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=prior)
         lead = DICTIONARY_FRAME + len(dictionary).to_bytes(4, "little") + dictionary
-        for frame in frames:
-            out = [lead] if lead else []
-            lead = b""
-            for row in frame.itertuples(index=False):
-                revisit = not pd.isna(row.refers_to)
-                body = b"" if revisit else bytes(row.payload)
-                head = _headers(row, "revisit" if revisit else "response", len(body))
-                out.append(writer.compress(head + body + b"\r\n\r\n"))
-            yield pd.DataFrame({"frame": out})
-
-    frames = rows.mapInPandas(of, "frame binary").select(F.col("frame").cast("string"))
-    frames.write.option("lineSep", SEPARATOR_FRAME.decode("ascii")).text(path)
+        archive, place, size = 0, 0, 0
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                frame = writer.compress(_record(row, date))
+                if size and size + len(frame) > ARCHIVE_BYTES:
+                    archive, place, size = archive + 1, 0, 0
+                out.append((archive, place, frame if size else lead + frame))
+                place, size = place + 1, size + len(frame)
+            columns = zip((pa.int64(), pa.int64(), pa.binary()), zip(*out) if out else ((), (), ()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for kind, x in columns], ["archive", "place", "frame"])
+
+    frames = _as_text(rows).mapInArrow(of, "archive long, place long, frame binary")
+    # The order that the writer needs to part archives, and that keeps each one's dictionary in front.
+    ordered = frames.sortWithinPartitions("archive", "place").select("archive", F.col("frame").cast("string"))
+    ordered.write.partitionBy("archive").option("lineSep", SEPARATOR_FRAME.decode("ascii")).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, payload) of every record of an archive, in order.
+    """(headers, payload) of every record of an archive, in order; X-Payload-Length is from its answer.
 
     Raises ValueError if a frame, a record or a payload is not what it says it is.
     """
@@ -137,9 +160,11 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         version, *lines = head.decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines)
         length = int(headers["Content-Length"])
-        payload = body[:length]
-        if version != "WARC/1.1" or body[length:] != b"\r\n\r\n":
+        answer, _, payload = body[:length].partition(b"\r\n\r\n")
+        if version != "WARC/1.1" or body[length:] != b"\r\n\r\n" or not answer.startswith(b"HTTP/1.1 "):
             raise ValueError("not a WARC record")
+        sizes = [x for x in answer.decode().split("\r\n") if x.startswith("Content-Length: ")]
+        headers["X-Payload-Length"] = sizes[0].split(": ")[1]
         if headers["WARC-Type"] == "response":
             digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
             if digest != hashlib.sha256(payload).hexdigest():
@@ -154,17 +179,17 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
         "record_type string, refers_to long" + ", payload binary" * payloads
     )
 
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for data in frame["content"]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch["content"]:
                 rows: list[tuple] = []
                 held = 0
-                for headers, payload in parse(data):
+                for headers, payload in parse(data.as_py()):
                     number = lambda name: int(headers[name]) if name in headers else None
                     row = (
                         number("X-Page-ID"),
                         headers.get("WARC-Target-URI"),
-                        int(headers["X-Payload-Length"]),
+                        number("X-Payload-Length"),
                         headers["WARC-Payload-Digest"].removeprefix("sha256:"),
                         headers["WARC-Type"],
                         number("X-Refers-To-Page"),
@@ -177,12 +202,15 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
                 if rows:
                     yield table(rows)
 
-    def table(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[part.split()[0] for part in schema.split(", ")])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [part.split() for part in schema.split(", ")]
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(of, schema)
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(x, kinds[kind]) for x, (_, kind) in zip(zip(*rows), fields)]
+        return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select("content").mapInArrow(of, schema)
 
 
 def archive(
@@ -192,11 +220,13 @@ def archive(
     payload: str = "html",
     path: str | None = None,
     payloads: bool = False,
+    date: str | None = None,
 ) -> DataFrame:
     """Writes a record per page to archives in ``path`` and reads them back.
 
     Returns page_id, url, payload_bytes, payload_digest, record_type and refers_to, and with
-    ``payloads`` what the records hold. By default the archives go to the shared folder.
+    ``payloads`` what the records hold. By default the archives go to the shared folder and their
+    records are dated now. The dictionary is trained on SAMPLE_ROWS records as they are written.
 
     Of records with equal payloads of LEAST_BYTES or more, that with the smallest page_id is a
     response and the others revisit it; smaller payloads are all responses. A null payload is
@@ -205,14 +235,16 @@ def archive(
     of urls are percent-encoded, a null url has no header. An empty table gives an empty result.
     """
     path = path or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = records(pages, id, url, payload)
-    middle = lambda text: F.substring(
-        text, F.greatest(F.lit(1), (F.length(text) - SAMPLE_BYTES) / 2).cast("int"), F.lit(SAMPLE_BYTES)
-    )
-    texts = pages.select(
-        F.col(id).alias("page_id"), F.col(url).alias("url"), middle(F.col(payload)).alias("text")
-    )
-    some = drawn(texts, pages.count(), SAMPLE_ROWS, 13, "page_id", "url").filter("length(text) > 0")
-    samples = sorted(r["text"].encode() for r in some.collect())
-    write(rows, path, train_dictionary(samples))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [_record(row, date)[:SAMPLE_BYTES] for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary())], ["head"])
+
+    named = pages.select(F.col(id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(payload).alias("body"))
+    some = drawn(named, pages.count(), SAMPLE_ROWS, 13, "page_id", "url")
+    heads = _as_text(records(some, "page_id", "url", "body")).mapInArrow(first, "head binary").collect()
+    write(rows, path, train_dictionary(sorted(bytes(r["head"]) for r in heads)), date)
     return read(pages.sparkSession, path, payloads)

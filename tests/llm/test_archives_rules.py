@@ -32,7 +32,9 @@ def test_round_trip(spark, tmp_path):
     assert kinds[3] == kinds[4] == kinds[6] == kinds[7] == kinds[8] == {("response", None)}
     assert of[5][0]["url"] == "http://a/%20b%0A" and of[2][0]["url"] is None
     # A plain Zstandard reader that knows of skippable frames reads the same records.
-    for file in tmp_path.glob("archive/part-*"):
+    files = list(tmp_path.glob("archive/archive=*/part-*"))
+    assert files
+    for file in files:
         data = file.read_bytes()
         assert data[:4] == warc.DICTIONARY_FRAME
         assert sum(1 for _ in warc.parse(data)) >= 1
@@ -40,6 +42,50 @@ def test_round_trip(spark, tmp_path):
             list(warc.parse(data[:-20]))
 
 
+BIG = 1 << 60
+
+
+def test_archives_end_at_a_size_and_name_their_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    draw = random.Random(3)
+    body = lambda: "<html>" + "".join(chr(draw.randint(32, 1000)) for _ in range(400))
+    same = body()
+    rows = [(BIG + i, f"http://h/{i}", same if i % 3 == 0 else body()) for i in range(1, 40)] + [(None, "http://h/", same)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    got = {r["page_id"]: r for r in warc.archive(pages, path=str(tmp_path / "a"), date="2024-05-06T07:08:09Z").collect()}
+    assert set(got) == {i for i, _, _ in rows}  # ids of 61 bits, beside a null
+    first = BIG + 3
+    assert {i for i in got if got[i]["refers_to"] == first} == {None, *(BIG + i for i in range(6, 40, 3))}
+    files = list(tmp_path.glob("a/archive=*/part-*"))
+    assert len(files) >= 6
+    names, revisits = {}, []
+    for file in files:
+        data = file.read_bytes()
+        assert data[:4] == warc.DICTIONARY_FRAME
+        for headers, payload in warc.parse(data):
+            assert headers["WARC-Date"] == "2024-05-06T07:08:09Z"
+            names[headers["WARC-Record-ID"]] = headers
+            revisits += [headers] if headers["WARC-Type"] == "revisit" else []
+            assert (payload == b"") == (headers["WARC-Type"] == "revisit")
+    assert len(names) == len(rows) and len(revisits) == 13
+    assert {names[h["WARC-Refers-To"]]["X-Page-ID"] for h in revisits} == {str(first)}
+
+
+def test_dictionary_holds_what_records_repeat(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"page {i}") for i in range(300)], "page_id long, url string, html string")
+    warc.archive(pages.coalesce(1), path=str(tmp_path / "a"))
+    data = next(tmp_path.glob("a/archive=*/part-*")).read_bytes()
+    assert b"/http; msgtype=response" in data[: 8 + int.from_bytes(data[4:8], "little")]
+
+
+def test_big_page_ids_beside_a_null(spark):
+    rows = [(BIG + 1, "http://a.net/"), (None, None), (BIG + 2, "http://b.org/fr/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").coalesce(1)
+    got = urls.judge(pages, urls.rules_table(spark, [("block", "net/")]))
+    assert got.schema["page_id"].dataType.simpleString() == "bigint"
+    assert {r["page_id"]: r["verdict"] for r in got.collect()} == {BIG + 1: "block", None: "allow", BIG + 2: "allow"}
+
+
 def test_empty_archive(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive(pages).count() == 0
