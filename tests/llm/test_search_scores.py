@@ -55,6 +55,24 @@ def test_search_of_few_and_odd_vectors(spark):
     assert hnsw.nearest(frame, frame.limit(0)).count() == 0
 
 
+def test_ties_go_to_smaller_ids(spark):
+    """All as far from each other: what a graph reaches is kept by id."""
+    rows = [(i, [float(i == j) for j in range(60)]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = hnsw.nearest(frame, frame.filter("vec_id % 10 = 0")).collect()
+    for query in range(0, 60, 10):
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == query)
+        assert [i for _, i in mine] == [i for i in range(60) if i != query][:10]
+
+
+def test_every_node_is_reached():
+    vecs = np.eye(300)
+    graph = hnsw.Graph.build(vecs, hnsw._levels(np.arange(300)))
+    for layer, links in enumerate(graph.layers):
+        held = (links[:, 0] >= 0).nonzero()[0]
+        assert hnsw._reached(links, np.array([graph.top]))[held].all()
+
+
 def test_search_query(spark):
     vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").orderBy("vec_id").collect()
     ids, rows = [v["vec_id"] for v in vectors], np.array([v["embedding"] for v in vectors], float)
