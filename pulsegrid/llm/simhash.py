@@ -187,22 +187,25 @@ def keep_one(
     """``docs`` with one row of each group of near copies: that with the smallest id.
 
     Of several rows with that id one stays, chosen by a hash of its columns. Rows without an id
-    are all kept, as nothing names them.
+    are all kept, as nothing names them. Null texts count as empty; other columns may have any name
+    and type; an empty table gives an empty result.
     """
-    digest = F.xxhash64(*docs.columns)
-    named = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), digest.alias("row"))
-    marked = cut(fingerprints(named, "text", shingle).drop("text"))
+    # A row is named by its id and a hash of all of it, written as JSON, which maps have too.
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id).alias("doc_id"), F.col(text).alias("text")
+    ).withColumn("row_hash", F.xxhash64(F.to_json("row")))
+    marked = cut(fingerprints(whole.select("doc_id", "text", "row_hash"), "text", shingle).drop("text"))
     first = (
         _classes(marked, radius)
         .filter("doc_id = component_id")
         .groupBy(F.col("doc_id").alias("kept_id"))
-        .agg(F.min("row").alias("kept_row"))
+        .agg(F.min("row_hash").alias("kept_hash"))
     )
-    one = (docs[id] == first["kept_id"]) & (digest == first["kept_row"])
+    named = whole.filter(F.col("doc_id").isNotNull())
+    one = (F.col("doc_id") == F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
     return (
-        docs.filter(docs[id].isNotNull())
-        .join(first, one)
-        .dropDuplicates(["kept_id", "kept_row"])
-        .select(*docs.columns)
-        .unionByName(docs.filter(docs[id].isNull()))
+        named.join(first, one)
+        .dropDuplicates(["kept_id", "kept_hash"])
+        .select("row.*")
+        .unionByName(docs.filter(F.col(id).isNull()))
     )

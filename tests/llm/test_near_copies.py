@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import cells, components, pq_dedup, simhash
+from pulsegrid.llm import cells, components, pq_dedup, queries, simhash
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -121,6 +121,26 @@ def test_one_document_of_a_group_stays(spark):
     assert simhash.near_copies(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_copies_beside_columns_of_any_kind(spark):
+    rows = [(2, "one two three four", 1, {"a": 1}), (1, "one two three four", 2, {"b": 2}), (1, "one two three four", 2, {"b": 2}), (5, "", 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, row map<string,int>")
+    kept = sorted(simhash.keep_one(docs).collect())
+    assert [(r["doc_id"], r["kept_id"], r["row"]) for r in kept] == [(1, 2, {"b": 2}), (5, 3, None)]
+
+
+def test_query_against_all_pairs(spark):
+    """The registered query: fingerprints as text, groups at two bits."""
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in queries.op2_simhash_dedup(spark, SF_DIR).collect()}
+    assert got.keys() == rows.keys()
+    ids = sorted(rows)
+    prints = np.array([plain_fingerprint(rows[i]) for i in ids], np.uint64)
+    assert [got[i]["fingerprint"] for i in ids] == [f"{p:016x}" for p in prints.tolist()]
+    i, j = (np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2).nonzero()
+    label = closed(len(ids), zip(i.tolist(), j.tolist()))
+    assert [got[i]["component_id"] for i in ids] == [ids[x] for x in label]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
