@@ -7,7 +7,6 @@ hold: what terms of one alone, or of neither, add to a pair follows from the cou
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -16,44 +15,60 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsegrid.session import cut
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = {ord("A") + i: ord("a") + i for i in range(26)}
+#: Bytes of terms, A-Z lower-cased; all others part them. Bytes beyond ASCII are parts of characters.
+AS_TERMS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
 LEAST_DOCS = 10  #: documents of a language that a term stands in, at least
 UNIT = 1_000_000_000  #: shares are counted in units of one in so many
 PRIOR = 2  #: occurrences that every kept term is taken to have besides its own
 RANKS = 10  #: terms reported of each source
-FLUSH = 1 << 18  #: counts a task holds before it passes them on
+FLUSH = 1 << 22  #: terms a task reads before it passes their counts on
 
 
-def terms(text: str) -> list[str]:
-    """Runs of letters and of characters beyond ASCII, A-Z lower-cased."""
-    return TERM.findall(text.translate(LOWER))
+def terms(text: bytes) -> list[bytes]:
+    """Runs of letters and of characters beyond ASCII, A-Z lower-cased, of a text in UTF-8."""
+    return text.translate(AS_TERMS).split()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, source, term, n, docs)`` from ``(lang, text, sources)``, summed within a task."""
-    n: Counter[tuple[str, str, str]] = Counter()
-    docs: Counter[tuple[str, str, str]] = Counter()
-
-    def out() -> pa.RecordBatch:
-        columns = [pa.array(column, pa.string()) for column in zip(*n)] or [pa.array([], pa.string())] * 3
-        counts = [pa.array(list(x), pa.int64()) for x in (n.values(), (docs[key] for key in n))]
-        return pa.RecordBatch.from_arrays([*columns, *counts], ["lang", "source", "term", "n", "docs"])
-
+    n: dict[tuple[str, str], Counter[bytes]] = {}
+    docs: dict[tuple[str, str], Counter[bytes]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for group, count in n.items():
+            held = docs[group]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.repeat(pa.scalar(name, pa.string()), len(count)) for name in group),
+                    pa.array(list(count), pa.binary()),
+                    pa.array(list(count.values()), pa.int64()),
+                    pa.array([held[term] for term in count], pa.int64()),
+                ],
+                ["lang", "source", "term", "n", "docs"],
+            )
+        n.clear()
+        docs.clear()
+
+    read = 0
     for batch in batches:
         for lang, text, sources in zip(*(column.to_pylist() for column in batch.columns)):
-            found = Counter(terms(text))
+            found = terms(text)
             for held in sources:
-                source, times = held["source"], held["times"]
-                for term, count in found.items():
-                    key = lang, source, term
-                    n[key] += count * times
-                    docs[key] += times
-                if len(n) >= FLUSH:
-                    yield out()
-                    n.clear()
-                    docs.clear()
-    yield out()
+                group = lang, held["source"]
+                if group not in n:
+                    n[group], docs[group] = Counter(), Counter()
+                if held["times"] == 1:
+                    n[group].update(found)
+                    docs[group].update(set(found))
+                else:
+                    for term, count in Counter(found).items():
+                        n[group][term] += count * held["times"]
+                        docs[group][term] += held["times"]
+                read += len(found)
+                if read >= FLUSH:
+                    yield from out()
+                    read = 0
+    yield from out()
 
 
 def _texts(docs: DataFrame, text: str, lang: str, source: str) -> tuple[DataFrame, DataFrame]:
@@ -68,7 +83,7 @@ def _texts(docs: DataFrame, text: str, lang: str, source: str) -> tuple[DataFram
     )
     # One text per digest: copies are dropped beside the scan, and the join needs no further shuffle.
     texts = named.filter("text <> ''").groupBy("lang", "digest").agg(F.first("text").alias("text"))
-    both = texts.join(held, ["lang", "digest"]).select("lang", "text", "sources")
+    both = texts.join(held, ["lang", "digest"]).select("lang", F.col("text").cast("binary"), "sources")
     return both, times.select("lang", "source").distinct()
 
 
@@ -148,19 +163,19 @@ def audit(
     gives an empty result.
     """
     texts, groups = _texts(docs, text, lang, source)
-    schema = "lang string, source string, term string, n long, docs long"
-    counts = cut(
-        texts.mapInArrow(_count, schema)
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Tasks have summed already. Dealt by term alone, a term's sources and its language's count meet
+    # without another shuffle, and rare terms go no further.
+    dealt = texts.mapInArrow(_count, "lang string, source string, term binary, n long, docs long").repartition(
+        "lang", "term"
     )
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= least_docs)
-        .drop("docs")
+    counts = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_lang = Window.partitionBy("lang", "term")
+    found = cut(
+        counts.withColumn("lang_n", F.sum("n").over(of_lang))
+        .withColumn("lang_docs", F.sum("docs").over(of_lang))
+        .filter(F.col("lang_docs") >= least_docs)
+        .select("lang", "source", F.col("term").cast("string").alias("term"), "n", "lang_n")
     )
-    found = cut(counts.drop("docs").join(kept, ["lang", "term"]))
     langs = (
         found.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
         .groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))

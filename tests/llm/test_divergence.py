@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -15,7 +16,7 @@ def plainly(rows, least, ranks):
     count, docs = Counter(), Counter()
     groups = sorted({(lang or "", source or "") for _, lang, source in rows})
     for text, lang, source in rows:
-        words = divergence.terms(text or "")
+        words = [w.decode() for w in divergence.terms((text or "").encode())]
         for word in words:
             count[lang or "", source or "", word] += 1
         for word in set(words):
@@ -66,4 +67,8 @@ def test_odd_rows(spark):
 
 
 def test_terms():
-    assert divergence.terms("It's A_b \x00c\x7f ÄÖ1ü") == ["it", "s", "a", "b", "c", "ÄÖ", "ü"]
+    text = "It's A_b \x00c\x7f ÄÖ1ü [@`{Z"
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+    want = ["it", "s", "a", "b", "c", "ÄÖ", "ü", "z"]
+    assert [w.decode() for w in divergence.terms(text.encode())] == want
+    assert re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower) == want
