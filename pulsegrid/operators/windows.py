@@ -116,17 +116,25 @@ def spine(bounds: DataFrame, windows: Sliding) -> DataFrame:
 
     The last end is the first one at or after the newest event of all services; a service
     that has fallen silent keeps its rows. Ends come from sequences per service, so nothing
-    is crossed: first every SPINE_CHUNK-th end, then those up to the next, so that no row holds a
-    service's whole grid.
+    is crossed: no row holds a service's whole grid.
     """
     last = F.unix_micros(bounds.agg(F.max("last_end")).scalar())
+    spans = bounds.select("service_name", F.unix_micros("first_end").alias("first"), last.alias("last"))
+    return ends_between(spans, windows)
+
+
+def ends_between(spans: DataFrame, windows: Sliding) -> DataFrame:
+    """Every window end of ``spans (service_name, first, last)``, grid points in microseconds.
+
+    A span whose last lies before its first has none. Ends come in sequences of SPINE_CHUNK.
+    """
     stride = windows.slide * SPINE_CHUNK
-    begins = F.sequence(F.unix_micros("first_end"), "last", F.lit(stride))
+    begins = F.sequence("first", "last", F.lit(stride))
     ends = F.sequence(
         "begin", F.least(F.col("begin") + stride - windows.slide, F.col("last")), F.lit(windows.slide)
     )
     return (
-        bounds.withColumn("last", last)
+        spans.filter("first <= last")
         .select("service_name", "last", F.explode(begins).alias("begin"))
         .select("service_name", F.explode(ends).alias("slot"))
         .select("service_name", F.timestamp_micros("slot").alias("window_end"))

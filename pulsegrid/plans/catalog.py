@@ -22,10 +22,10 @@ from pulsegrid.operators import features as ft, forest as fo, inject as inj, rec
 from pulsegrid.operators import windows as wn
 from pulsegrid.plans import reports, training
 from pulsegrid.session import cut, prepare, shared_dir
-from pulsegrid.sources import events as ev, sinks
+from pulsegrid.sources import events as ev, ledger, sinks
 from pulsegrid.sources.adapter import as_log_events, read_logs
 from pulsegrid.sources.schema import EVENTS_TABLE
-from pulsegrid.streaming import live
+from pulsegrid.streaming import live, running
 
 WINDOWS = wn.Sliding(6 * 3600, 2 * 3600)
 SHORT_WINDOWS = wn.Sliding(1800, 600)
@@ -166,12 +166,15 @@ def s5_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scored.select(*wn.WINDOW, "anomaly_score", "is_anomalous"))
 
 
+MORNING, AFTERNOON = "hour(ts) < 12", "hour(ts) >= 12"
+
+
 def s6_archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An archive that grows by calls: odd days, then even days, then the first day once more."""
+    """An archive that grows: mornings, afternoons, the afternoons repeated, one day sent once more."""
     path, logs = fresh_path(spark, "archive"), read_logs(spark, sf_dir)
-    day = F.dayofmonth("ts")
-    for days in (day % 2 == 1, day % 2 == 0, day == 1):
-        ev.write_archive(logs.filter(days), path)
+    for number, rows in ((0, MORNING), (1, AFTERNOON), (1, AFTERNOON), (2, "dayofmonth(ts) = 1")):
+        ev.write_archive(logs.filter(rows), path, ("event_id",), "sender", number)
+    ledger.compact(spark, path)
     return (
         ev.read_archive(spark, path)
         .groupBy("date", "service_name")
@@ -179,15 +182,30 @@ def s6_archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _table(write: Callable[[DataFrame, str], None], name: str) -> Query:
+def _table(write: Callable[..., bool], name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = fresh_path(spark, name)
-        write(scored_of(spark, sf_dir), path)
-        return plain(rounded(spark.read.parquet(path)))
+        """Filled by half days, of which one is written over by the same windows."""
+        path, scored = fresh_path(spark, name), cut(scored_of(spark, sf_dir))
+        for rows in ("hour(window_end) < 12", "hour(window_end) >= 12", "dayofmonth(window_end) = 10"):
+            write(scored.filter(rows), path)
+        return plain(rounded(ledger.read(spark, path)))
 
     return query
 
 
+def s9_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and rows left of an archive whose old folders have been deleted, twice over."""
+    path, logs = fresh_path(spark, "archive"), read_logs(spark, sf_dir)
+    for rows in (MORNING, AFTERNOON):
+        ev.write_archive(logs.filter(rows), path, ("event_id",))
+    for _ in range(2):
+        ev.expire(spark, path, RETENTION_SECONDS)
+    # Whatever the manifest says: what lies in the table's folders.
+    files = spark.read.option("recursiveFileLookup", "true").schema(logs.schema).parquet(f"{path}/rows")
+    day = F.regexp_extract(F.input_file_name(), "date=([0-9-]+)", 1).alias("day")
+    return files.groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
 def s9_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ev.retained(read_logs(spark, sf_dir), RETENTION_SECONDS)
     return plain(kept.select("event_id", "ts", "service_name"))
@@ -302,6 +320,53 @@ def w7_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live_twice(spark, logs.filter(F.col("ts") < middle), logs.filter(F.col("ts") >= middle))
 
 
+#: A service that falls silent for some days.
+GAP = ("payments-service", "2024-01-11 00:00:00", "2024-01-14 00:00:00")
+
+
+def _running(spark: SparkSession, *parts: DataFrame) -> str:
+    """Tables of the one live stream, which stopped after each of ``parts``."""
+    files, path = fresh_path(spark, "files"), fresh_path(spark, "running")
+    for rows in parts:
+        rows = rows.select("event_id", "ts", "service_name", "status_code", "latency_ms")
+        rows.coalesce(1).write.mode("append").parquet(files)
+        events = live.stream_table(spark, files, rows.schema)
+        running.run_windows(events, WINDOWS, DELAY_SECONDS, path).awaitTermination()
+    return path
+
+
+def w4_live_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live metrics with a row for every window of a service that was silent for days."""
+    service, start, stop = GAP
+    silent = (F.col("service_name") == service) & (F.col("ts") >= utc_stamp(start)) & (F.col("ts") < utc_stamp(stop))
+    logs, middle = read_logs(spark, sf_dir).filter(~silent), utc_stamp(STOPPED_AT)
+    path = _running(spark, logs.filter(F.col("ts") < middle), logs.filter(F.col("ts") >= middle))
+    return plain(rounded(running.read_live(spark, path)))
+
+
+def _late_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    logs = read_logs(spark, sf_dir)
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < utc_stamp(LATE_BEFORE))
+    return logs.filter(~late), logs.filter(late)
+
+
+def w5_pane_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live stream's state: events per pane, each in one of them only."""
+    panes = running.read_live(spark, _running(spark, *_late_parts(spark, sf_dir)), "panes")
+    return plain(panes.groupBy(*wn.PANE).agg(F.sum("n").alias("n")))
+
+
+def w6_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that came too late for their windows, as the live stream keeps them."""
+    late = running.read_live(spark, _running(spark, *_late_parts(spark, sf_dir)), "late")
+    return plain(late.select("event_id", "ts", "service_name", "latency_ms"))
+
+
+def w6_late_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live metrics after late events: as if all had come in time."""
+    return plain(rounded(running.read_live(spark, _running(spark, *_late_parts(spark, sf_dir)))))
+
+
 # -- features
 
 
@@ -472,6 +537,7 @@ def all_queries() -> dict[str, Query]:
         "s7_metrics_table": _table(sinks.write_metrics, "metrics"),
         "s8_anomalies_table": _table(sinks.write_anomalies, "anomalies"),
         "s9_retention": s9_retention,
+        "s9_expire": s9_expire,
         "p1_normalise": p1_normalise,
         "p3_errors": p3_errors,
         "p4_latest_window": p4_latest_window,
@@ -483,7 +549,11 @@ def all_queries() -> dict[str, Query]:
         "w4_spine_features": w4_spine_features,
         "w4_stream_silence": w4_stream_silence,
         "w5_stream_parity": w5_stream_parity,
+        "w4_live_spine": w4_live_spine,
+        "w5_pane_state": w5_pane_state,
         "w6_late_rows": w6_late_rows,
+        "w6_late_kept": w6_late_kept,
+        "w6_late_corrected": w6_late_corrected,
         "w7_restart": w7_restart,
         "w9_pane_counts": w9_pane_counts,
         "a1_request_count": a_traffic("request_count"),

@@ -12,6 +12,7 @@ from pulsegrid.operators.inject import BURST_CODES, UNUSUAL_CODES
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans.catalog import (
     DELAY_SECONDS,
+    GAP,
     LATE_BEFORE,
     RANGE,
     RETENTION_SECONDS,
@@ -73,6 +74,18 @@ def _in_time(cte: str) -> str:
     return cte.replace("FROM events", f"FROM events WHERE NOT ({late})")
 
 
+def _without_gap(cte: str) -> str:
+    """The same without the days in which a service sent nothing."""
+    service, start, stop = GAP
+    assert service == "payments-service"
+    gap = f"user_id % 3 = 1 AND ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '{stop}'"
+    return cte.replace("FROM events", f"FROM events WHERE NOT ({gap})")
+
+
+#: Ends that the one live stream has closed when all events are read.
+RUN_TO = f"(SELECT ((max(us) - {DELAY_SECONDS * 1_000_000}) // {S}) * {S} FROM logs)"
+
+
 def _features(wins: str, name: str) -> str:
     def pct(p: int) -> str:
         rank = f"greatest(1, ceil({p / 100}::DOUBLE * count(*)))::BIGINT"
@@ -348,6 +361,12 @@ FROM logs""",
             "SELECT event_id, ts, service_name FROM logs WHERE us >= (SELECT max(us) FROM logs) "
             f"- {RETENTION_SECONDS * 1_000_000}",
         ),
+        "s9_expire": _sql(
+            [LOGS],
+            "SELECT strftime(ts::DATE, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS first_event "
+            f"FROM logs WHERE ts::DATE >= make_timestamp((SELECT max(us) FROM logs) - {RETENTION_SECONDS * 1_000_000})::DATE "
+            "GROUP BY ALL",
+        ),
         "p1_normalise": _sql(
             [LOGS],
             "SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'unknown' ELSE service_name END "
@@ -393,6 +412,20 @@ FROM logs""",
             _FEATURED,
             f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",
         ),
+        "w4_live_spine": _sql(
+            [_without_gap(cte) for cte in _SPINED], f"SELECT {KEY}, {ROUNDED} FROM spinef WHERE e <= {RUN_TO}"
+        ),
+        "w5_pane_state": _sql(
+            [LOGS, f"panes AS (SELECT *, ((us + {S - 1}) // {S}) * {S} AS pe FROM logs)"],
+            f"SELECT service_name, make_timestamp(pe) AS pane_end, ((us + {W} - pe) // {S})::INTEGER AS reach, "
+            "count(*)::BIGINT AS n FROM panes GROUP BY ALL",
+        ),
+        "w6_late_kept": _sql(
+            [LOGS],
+            "SELECT event_id, ts, service_name, latency_ms FROM logs WHERE event_id % 50 = 0 "
+            f"AND ts < TIMESTAMP '{LATE_BEFORE}' AND ((us + {S - 1}) // {S}) * {S} <= {RUN_TO}",
+        ),
+        "w6_late_corrected": _sql(_SPINED, f"SELECT {KEY}, {ROUNDED} FROM spinef WHERE e <= {RUN_TO}"),
         "w6_late_rows": _sql(
             [_in_time(cte) for cte in _FEATURED],
             f"SELECT {KEY}, {ROUNDED} FROM feats WHERE e <= {_closed('wins', WINDOWS)}",

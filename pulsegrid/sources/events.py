@@ -11,6 +11,7 @@ from pulsegrid.functions.columns import (
     utc_date,
     utc_stamp,
 )
+from pulsegrid.sources import ledger
 from pulsegrid.sources.schema import LOG_EVENT, SERVICE_PROFILE, SERVICE_PROFILES
 
 CORRUPT = "corrupt_record"
@@ -136,27 +137,38 @@ def with_date(rows: DataFrame, ts: str) -> DataFrame:
     return rows.withColumn("date", utc_date(F.col(ts)))
 
 
-def write_archive(events: DataFrame, path: str) -> None:
-    """Raw events by UTC date and service.
+def write_archive(
+    events: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = (),
+    writer: str = "batch",
+    number: int | None = None,
+) -> bool:
+    """Add raw events to an archive by UTC date and service; see ``ledger.upsert``.
 
-    Of what the archive holds, only the folders of the dates and services written now are replaced.
-    Rows are brought together by folder before writing, for few files; adaptive execution
-    splits the folder of a service that holds most of a day among several tasks. Files are
-    sorted by time, so that a time range skips most of their row groups.
+    With ``keys``, such as an event's id, events that are written again replace themselves.
     """
-    (
-        with_date(events, "ts")
-        .hint("rebalance", "date", "service_name")
-        .sortWithinPartitions("date", "service_name", "ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "service_name")
-        .parquet(path)
-    )
+    return ledger.upsert(events, path, "ts", keys, ("service_name",), writer, number)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return ledger.read(spark, path)
+
+
+def expire(spark: SparkSession, path: str, seconds: float) -> list[str]:
+    """Delete whole days of a growing table that end ``seconds`` or more before its newest row.
+
+    Only the newest day is read, to find that row. The day that holds the border stays whole (see
+    ``retained`` for its rows). Safe to repeat; returns the days that went.
+    """
+    held = ledger.manifest(spark, path)
+    if held is None or not held.dates:
+        return []
+    last = ledger.read(spark, path).filter(F.col("date") == F.lit(held.dates[-1]).cast("date"))
+    oldest = F.timestamp_micros(F.unix_micros(F.max(held.ts)) - F.lit(round(seconds * 1_000_000)))
+    gone = ledger.drop_before(spark, path, last.agg(utc_date(oldest)).first()[0])
+    ledger.clean(spark, path)
+    return gone
 
 
 def time_range(rows: DataFrame, start: str, stop: str, ts: str = "ts") -> DataFrame:

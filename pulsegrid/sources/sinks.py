@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulsegrid.functions.columns import iso_stamp
 from pulsegrid.operators.forest import Forest, ForestParams
 from pulsegrid.operators.reconstruct import Reconstruction
-from pulsegrid.sources.events import with_date
+from pulsegrid.operators.windows import WINDOW
+from pulsegrid.sources import ledger
 
 
 def score_rows(scored: DataFrame) -> DataFrame:
@@ -25,30 +26,20 @@ def score_lines(scored: DataFrame) -> DataFrame:
     return score_rows(scored).select(F.to_json(F.struct("*")).alias("value"))
 
 
-def write_table(rows: DataFrame, path: str) -> None:
-    """Write windows partitioned by UTC date; the dates written replace those the table held.
-
-    One micro-batch writes to one path of its own, so repeating a batch replaces its rows.
-    """
-    (
-        with_date(rows, "window_end")
-        .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+def write_table(rows: DataFrame, path: str, writer: str = "batch", number: int | None = None) -> bool:
+    """Add windows to a growing table by UTC date; a window that is there already is replaced."""
+    return ledger.upsert(rows, path, "window_end", WINDOW, writer=writer, number=number)
 
 
-def write_metrics(scored: DataFrame, path: str) -> None:
+def write_metrics(scored: DataFrame, path: str, writer: str = "batch", number: int | None = None) -> bool:
     """Per-window statistics of all services."""
-    write_table(scored.drop("anomaly_score", "is_anomalous"), path)
+    return write_table(scored.drop("anomaly_score", "is_anomalous"), path, writer, number)
 
 
-def write_anomalies(scored: DataFrame, path: str) -> None:
+def write_anomalies(scored: DataFrame, path: str, writer: str = "batch", number: int | None = None) -> bool:
     """Flagged windows with their scores."""
     flagged = scored.filter("is_anomalous").select("service_name", "window_end", "anomaly_score")
-    write_table(flagged, path)
+    return write_table(flagged, path, writer, number)
 
 
 def save_forest(forest: Forest, path: str, version: str) -> None:

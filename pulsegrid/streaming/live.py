@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from pulsegrid.operators.features import features_of_counts
 from pulsegrid.operators.windows import WINDOW, Sliding, event_windows
 from pulsegrid.plans.scorers import Model, score
+from pulsegrid.sources import ledger
 from pulsegrid.sources.events import with_date
 from pulsegrid.sources.sinks import score_lines, write_anomalies, write_metrics
 
@@ -68,9 +69,9 @@ def run_live(
     """Write the closed windows of a stream under ``path``, batch by batch.
 
     Tables: ``closed`` (counts), ``metrics`` (features) and, given a model, ``anomalies`` and
-    ``scores`` (JSON lines). A batch writes to folders named by its number and a repeated batch
-    overwrites them, so after a crash every window is there exactly once. State and progress
-    lie in ``path/progress``.
+    ``scores`` (JSON lines). A batch writes to folders named by its number, which a repeated batch
+    overwrites, or adds to a growing table, which takes its number once: after a crash every window
+    is there exactly once. State and progress lie in ``path/progress``.
     """
 
     def write_batch(batch: DataFrame, number: int) -> None:
@@ -80,12 +81,14 @@ def run_live(
         closed = spark.read.schema(batch.schema).parquet(f"{path}/closed/{folder}")
         if closed.isEmpty():
             return
-        write_metrics(closed_features(closed, windows), f"{path}/metrics/{folder}")
+        features = closed_features(closed, windows)
         if model is not None:
-            metrics = spark.read.parquet(f"{path}/metrics/{folder}").drop("date")
-            scored = score(metrics, model)
-            write_anomalies(scored, f"{path}/anomalies/{folder}")
+            features.write.mode("overwrite").parquet(f"{path}/features/{folder}")
+            features = spark.read.schema(features.schema).parquet(f"{path}/features/{folder}")
+            scored = score(features, model)
+            write_anomalies(scored, f"{path}/anomalies", "live", number)
             score_lines(scored).write.mode("overwrite").text(f"{path}/scores/{folder}")
+        write_metrics(features, f"{path}/metrics", "live", number)
 
     return (
         closed_counts(events, windows, delay_seconds)
@@ -98,7 +101,7 @@ def run_live(
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/metrics").drop("batch_id", "date")
+    return ledger.read(spark, f"{path}/metrics").drop("date")
 
 
 def run_archive(events: DataFrame, path: str, trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:

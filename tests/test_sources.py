@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import inject as inj
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans import reports
-from pulsegrid.sources import events as ev, sinks
+from pulsegrid.sources import events as ev, ledger, sinks
 from pulsegrid.sources.schema import LOG_EVENT
 
 GOOD = {
@@ -227,11 +227,29 @@ def test_archive_and_tables_grow_by_days(spark, tmp_path):
     day = 86_400.0
     logs = lambda *days: log_table(spark, [(d * day + 5, "s", 200, 1.0) for d in days])
     for days in ((1,), (2, 3), (3,)):
-        ev.write_archive(logs(*days), str(tmp_path / "events"))
+        ev.write_archive(logs(*days), str(tmp_path / "events"), ("ts",))
     assert ev.read_archive(spark, str(tmp_path / "events")).count() == 3
-    for start in (0, 9000):
-        sinks.write_anomalies(scores(spark, [-0.1] * 3).withColumn("window_end", F.timestamp_seconds(F.lit(start * 10))), str(tmp_path / "a"))
-    assert spark.read.parquet(str(tmp_path / "a")).count() == 6
+    for start in (0, 0, 90_000):
+        later = F.timestamp_seconds(F.unix_seconds("window_end") + start)
+        sinks.write_anomalies(scores(spark, [-0.1] * 3).withColumn("window_end", later), str(tmp_path / "a"))
+    assert ledger.read(spark, str(tmp_path / "a")).count() == 6
+
+
+def test_half_days_and_repeated_batches(spark, tmp_path):
+    """24 events of one day, written as two halves, the second twice."""
+    logs = log_table(spark, [(h * 3600.0, "s", 200, 1.0) for h in range(24)])
+    for number, half in enumerate(("hour(ts) < 12", "hour(ts) >= 12", "hour(ts) >= 12")):
+        ev.write_archive(logs.filter(half), str(tmp_path), writer="w", number=min(number, 1))
+    assert ev.read_archive(spark, str(tmp_path)).count() == 24
+
+
+def test_expired_days_are_gone(spark, tmp_path):
+    logs = log_table(spark, [(d * 43_200.0, "s", 200, 1.0) for d in range(20)])
+    ev.write_archive(logs, str(tmp_path))
+    assert len(ev.expire(spark, str(tmp_path), 2.2 * 86_400)) == 7 and ev.expire(spark, str(tmp_path), 2.2 * 86_400) == []
+    left = ev.read_archive(spark, str(tmp_path))
+    assert left.count() == 6 and left.agg(F.min("ts").cast("double")).first()[0] == 7 * 86_400
+    assert ev.expire(spark, str(tmp_path / "none"), 1) == []
 
 
 def test_stamps_in_another_time_zone(spark, tmp_path):

@@ -15,7 +15,7 @@ from pulsegrid.operators.corpus import balanced_corpus
 from pulsegrid.operators.features import FEATURES, spine_features, window_features
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.session import cut
-from pulsegrid.sources import events as ev
+from pulsegrid.sources import events as ev, ledger
 from pulsegrid.streaming import live
 
 WINDOWS = Sliding(30, 10)
@@ -122,7 +122,7 @@ def test_scores_of_a_stream(spark, tmp_path):
     normal = cut(window_features(log_table(spark, usual), WINDOWS))
     forest = fo.fit(cut(balanced_corpus(normal)), fo.ForestParams(trees=20))
     metrics = replay(spark, folder, out, forest)
-    flagged = spark.read.parquet(f"{out}/anomalies")
+    flagged = ledger.read(spark, f"{out}/anomalies")
     ends = {r.window_end.timestamp() for r in flagged.collect()}
     assert {410.0, 420.0, 430.0, 440.0, 450.0} <= ends
     lines = [json.loads(r.value) for r in spark.read.text(f"{out}/scores").collect()]
