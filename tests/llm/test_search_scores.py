@@ -125,6 +125,38 @@ def test_toxicity_of_held_out_documents(spark):
     # A held-out label changes nothing.
     again = toxicity.train(docs, labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic"))))
     assert np.allclose(again.weights, model.weights) and again.toxic == model.toxic
+    # Nor do partitions, or copies of rows.
+    dealt = toxicity.train(docs.union(docs.limit(200)).repartition(7), labels.repartition(3))
+    assert dealt.toxic == model.toxic and dealt.ordinary == model.ordinary
+    assert np.array_equal(dealt.weights, model.weights)
+
+
+def test_stretches_are_what_strings_cover():
+    grams = np.unique(np.concatenate([toxicity._grams(x) for x in (b"abcdefgh", b"ghijkl")]))
+    weight = np.arange(1.0, len(grams) + 1)
+    found = toxicity.stretches(b"xx abcdefgh yy abcdefghijkl abcdef", grams, weight)
+    assert [x for x, _ in found] == [b"abcdefgh", b"abcdefghijkl", b"abcdef"]
+    assert toxicity.stretches(b"abc", grams, weight) == [] == toxicity.stretches(b"abcdefgh", grams[:0], weight[:0])
+
+
+def test_toxic_phrases_of_ordinary_words(spark):
+    """No word of its own, only which words stand together: some are found, where a list of words finds none."""
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}" for a in ("mor", "tan", "fel", "gis", "pul", "dra") for b in ("a", "el", "ido", "um", "esk", "ort", "inga", "oy")]
+    phrase = ["mora fel%s" % b for b in ("el", "ido")] + ["gisum dra%s pulesk" % b for b in ("ort", "oy")]
+    rows, labels = [], []
+    for i in range(900):
+        text = list(rng.choice(words, 60))
+        if i % 4 == 0:
+            for at in (5, 25, 45):
+                text[at] = str(rng.choice(phrase))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = [r for r in toxicity.judge(docs, model).collect() if r["held_out"]]
+    assert np.mean([r["predicted"] for r in held if r["doc_id"] % 4 == 0]) >= 0.4
+    assert np.mean([r["predicted"] for r in held if r["doc_id"] % 4]) <= 0.05
 
 
 def test_toxicity_without_labels(spark):
