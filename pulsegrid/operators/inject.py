@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.functions.columns import mode_label, settle, uniform
+from pulsegrid.operators.spans import disjoint, lookup
 
 # Status codes of the two status modes, their shares and the latency factors.
 BURST_CODES = (500, 502, 503, 504)
@@ -20,8 +21,7 @@ LATENCY_DIGITS = 3
 
 MODES = ("latency_spike", "error_burst", "unusual_status")
 
-#: Spans are matched to events by service and by this many seconds of time.
-SPAN_BUCKET_SECONDS = 3600
+KEY = ("service_name",)
 
 
 def _one_of(codes: tuple[int, ...], u: Column) -> Column:
@@ -50,41 +50,16 @@ def inject(events: DataFrame, mode: Column | str, seed: int = 42) -> DataFrame:
     )
 
 
-def in_buckets(spans: DataFrame, seconds: int = SPAN_BUCKET_SECONDS) -> DataFrame:
-    """Spans (start, stop) once per time bucket they touch, so that a time-range join becomes
-    an equality join that works for any number of spans."""
-    return spans.withColumn(
-        "bucket",
-        F.explode(
-            F.sequence(
-                F.floor(F.unix_seconds("start") / seconds), F.floor(F.unix_seconds("stop") / seconds)
-            )
-        ),
-    )
-
-
-def bucket_of(ts: str, seconds: int = SPAN_BUCKET_SECONDS) -> Column:
-    return F.floor(F.unix_seconds(ts) / seconds)
-
-
 def inject_spans(events: DataFrame, spans: DataFrame, seed: int = 42) -> DataFrame:
     """Inject into one service and time span at a time.
 
-    ``spans`` has service_name, start (inclusive), stop (exclusive) and mode; the spans of a
-    service do not overlap.
+    ``spans`` has service_name, start (inclusive), stop (exclusive) and mode, of any length. Where spans
+    of a service overlap, the one that started last holds, of those the one that stops first, then the
+    largest mode by name: an event is changed once.
     """
-    keyed = events.withColumn("bucket", bucket_of("ts"))
-    matched = (
-        keyed.join(
-            in_buckets(spans).withColumnsRenamed({"service_name": "s", "bucket": "b"}),
-            (F.col("service_name") == F.col("s"))
-            & (F.col("bucket") == F.col("b"))
-            & (F.col("ts") >= F.col("start"))
-            & (F.col("ts") < F.col("stop")),
-            "left",
-        )
-    )
-    changed = inject(matched, F.coalesce(F.col("mode"), F.col("anomaly_mode")), seed)
+    apart = disjoint(spans.select(*KEY, "start", "stop", F.col("mode").alias("mode_of_span")), KEY, "mode_of_span")
+    matched = lookup(events, "ts", apart, KEY)
+    changed = inject(matched, F.coalesce(F.col("mode_of_span"), F.col("anomaly_mode")), seed)
     return changed.select(*events.columns)
 
 

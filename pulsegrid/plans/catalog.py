@@ -19,8 +19,8 @@ from pulsegrid.functions.columns import (
     utc_stamp,
 )
 from pulsegrid.operators import features as ft, forest as fo, inject as inj, reconstruct as rec
-from pulsegrid.operators import windows as wn
-from pulsegrid.plans import reports, training
+from pulsegrid.operators import sketches as sk, windows as wn
+from pulsegrid.plans import reports, scorers, training
 from pulsegrid.session import cut, prepare, shared_dir
 from pulsegrid.sources import events as ev, ledger, sinks
 from pulsegrid.sources.adapter import as_log_events, read_logs
@@ -37,6 +37,18 @@ SPANS = (
     ("auth-service", "2024-01-15 06:00:00", "2024-01-15 18:00:00", "latency_spike"),
     ("inventory-service", "2024-01-20 00:00:00", "2024-01-21 00:00:00", "unusual_status"),
 )
+#: Spans that overlap, of which one lasts ten years and one is empty.
+ANY_SPANS = (
+    *SPANS,
+    ("auth-service", "2020-01-01 00:00:00", "2030-01-01 00:00:00", "unusual_status"),
+    ("payments-service", "2024-01-10 12:00:00.5", "2024-01-12 00:00:00", "latency_spike"),
+    ("payments-service", "2024-01-10 12:00:00.5", "2024-01-10 18:00:00", "unusual_status"),
+    ("inventory-service", "2024-01-05 00:00:00", "2024-01-05 00:00:00", "error_burst"),
+)
+#: Model versions, the time each holds from, and the share its boundary flags.
+VERSIONS = (("v1", "2024-01-05 00:00:00", 0.05), ("v2", "2024-01-16 00:00:00", 0.1))
+REPLICATES = 100
+RULE = 0.25  #: error rate from which the plain rule flags a window
 LATE_BEFORE = "2024-01-10 00:00:00"
 STOPPED_AT = "2024-01-15 09:30:00"
 RETENTION_SECONDS = 7 * 86400
@@ -68,8 +80,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def span_table(spark: SparkSession) -> DataFrame:
-    text = spark.createDataFrame(list(SPANS), "service_name string, start string, stop string, mode string")
+def span_table(spark: SparkSession, spans: tuple = SPANS) -> DataFrame:
+    text = spark.createDataFrame(list(spans), "service_name string, start string, stop string, mode string")
     return text.withColumns({c: F.col(c).cast("timestamp") for c in ("start", "stop")})
 
 
@@ -382,6 +394,22 @@ def a3_latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(rounded(ft.window_latency(read_logs(spark, sf_dir), WINDOWS)))
 
 
+def a3_sketch_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows from merged sketches: their events, and whether each percentile has the rank it should."""
+    logs = read_logs(spark, sf_dir)
+    merged = sk.window_sketches(sk.pane_sketches(logs, WINDOWS), WINDOWS)
+    found = cut(sk.quantiles(merged))
+    met = wn.event_windows(logs.select("ts", "service_name", "latency_ms"), WINDOWS).join(found, list(wn.WINDOW))
+    checks = []
+    for p in ft.PERCENTS:
+        name = f"p{p}_latency_ms"
+        below = F.count_if(F.col("latency_ms") < F.col(name)) / F.count(F.lit(1))
+        upto = F.count_if(F.col("latency_ms") <= F.col(name)) / F.count(F.lit(1))
+        near = (below - sk.RANK_ERROR <= p / 100) & (upto + sk.RANK_ERROR >= p / 100)
+        checks.append(near.alias(f"p{p}_near"))
+    return plain(met.groupBy(*wn.WINDOW).agg(F.max("n").alias("n"), *checks))
+
+
 def a4_status_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     histogram = ft.pane_histogram(ft.count_rows(read_logs(spark, sf_dir), WINDOWS))
     return plain(ft.status_histogram(histogram, WINDOWS))
@@ -458,6 +486,27 @@ def m10_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.compare_models(v1.unionByName(v2), reports.window_modes(logs, WINDOWS))
 
 
+def m7_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows scored by the version that held when they ended."""
+    features = cut(ft.spine_features(read_logs(spark, sf_dir), WINDOWS))
+    corpus = training.training_corpus(features, WINDOWS)
+    models = {name: fo.fit(corpus, fo.ForestParams(contamination=share)) for name, _, share in VERSIONS}
+    versions = spark.createDataFrame([v[:2] for v in VERSIONS], "model_version string, valid_from string")
+    versions = versions.withColumn("valid_from", F.col("valid_from").cast("timestamp"))
+    scored = scorers.score_as_of(features, versions, models)
+    return plain(scored.select(*wn.WINDOW, "model_version", "anomaly_score", "is_anomalous"))
+
+
+def m10_recall_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall and false positives of the forest and of a plain rule, with their bounds."""
+    scored, modes = injected_scores(spark, sf_dir)
+    scored = cut(scored)
+    rule = scored.withColumn("is_anomalous", F.col("error_rate") >= RULE).withColumn("model_version", F.lit("rule"))
+    both = scored.withColumn("model_version", F.lit("forest")).unionByName(rule)
+    bounds = reports.confidence(both, modes, "model_version", "service_name", replicates=REPLICATES, seed=SEED)
+    return rounded(bounds)
+
+
 # -- injection
 
 EVENT_COLUMNS = ("event_id", "service_name", "status_code", "latency_ms", "anomaly_mode")
@@ -474,6 +523,12 @@ def i4_scoped_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return injected_logs(spark, sf_dir).select(*EVENT_COLUMNS)
 
 
+def i4_any_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of any length that overlap: an event is changed by one of them."""
+    logs = inj.inject_spans(read_logs(spark, sf_dir), span_table(spark, ANY_SPANS), SEED)
+    return logs.select(*EVENT_COLUMNS)
+
+
 def i5_labelled_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test set, counted per mode and status."""
     rows = inj.labelled_union(read_logs(spark, sf_dir), SEED)
@@ -559,6 +614,7 @@ def all_queries() -> dict[str, Query]:
         "a1_request_count": a_traffic("request_count"),
         "a2_error_rate": a_traffic("error_rate"),
         "a3_latency_percentiles": a3_latency_percentiles,
+        "a3_sketch_ranks": a3_sketch_ranks,
         "a4_status_histogram": a4_status_histogram,
         "a5_status_entropy": a_traffic("status_entropy"),
         "a6_window_features": a6_window_features,
@@ -569,13 +625,16 @@ def all_queries() -> dict[str, Query]:
         "m5_path_length": m5_path_length,
         "m6_threshold": m6_threshold,
         "m7_scores": m7_scores,
+        "m7_versions": m7_versions,
         "m8_same_seed": m8_same_seed,
         "m9_reconstruction": m9_reconstruction,
         "m10_model_compare": m10_model_compare,
+        "m10_recall_bounds": m10_recall_bounds,
         "i1_latency_spike": injected("latency_spike"),
         "i2_error_burst": injected("error_burst"),
         "i3_unusual_status": injected("unusual_status"),
         "i4_scoped_injection": i4_scoped_injection,
+        "i4_any_spans": i4_any_spans,
         "i5_labelled_union": i5_labelled_union,
         "d1_rate_panel": d1_rate_panel,
         "d2_latency_panel": d2_latency_panel,

@@ -11,16 +11,21 @@ from pulsegrid.operators.forest import EULER_GAMMA, ForestParams, height_limit
 from pulsegrid.operators.inject import BURST_CODES, UNUSUAL_CODES
 from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans.catalog import (
+    ANY_SPANS,
     DELAY_SECONDS,
     GAP,
     LATE_BEFORE,
     RANGE,
+    REPLICATES,
     RETENTION_SECONDS,
+    RULE,
     SEED,
     SHORT_WINDOWS,
     SPANS,
+    VERSIONS,
     WINDOWS,
 )
+from pulsegrid.plans.reports import POISSON
 from pulsegrid.plans.training import N_SAMPLES
 from pulsegrid.sources.schema import SERVICE_PROFILES
 
@@ -260,6 +265,18 @@ hits AS (
     ON l.service_name = s.service_name AND l.ts >= s.start AND l.ts < s.stop),
 logs2 AS MATERIALIZED (SELECT event_id, ts, us, service_name, {_inject('mode')} FROM hits)"""
 
+_ANY_ROWS = ", ".join(
+    f"('{service}', TIMESTAMP '{start}', TIMESTAMP '{stop}', '{mode}')" for service, start, stop, mode in ANY_SPANS
+)
+ANY_INJECTED = f"""spans(service_name, start, stop, mode) AS (VALUES {_ANY_ROWS}),
+hits AS (
+  SELECT l.event_id, l.ts, l.us, l.service_name, l.status_code, l.latency_ms,
+    coalesce(s.mode, l.anomaly_mode) AS mode
+  FROM logs l LEFT JOIN spans s
+    ON l.service_name = s.service_name AND l.ts >= s.start AND l.ts < s.stop
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY s.start DESC, s.stop, s.mode DESC) = 1),
+logs2 AS MATERIALIZED (SELECT event_id, ts, us, service_name, {_inject('mode')} FROM hits)"""
+
 _FEATURED = [LOGS, _windows("logs", "wins"), _features("wins", "feats")]
 _SPINED = [*_FEATURED, _spine("logs", "feats", "spinef")]
 _SAMPLED = [*_SPINED, _corpus()]
@@ -300,6 +317,23 @@ def _share(part: str, whole: str) -> str:
     return f"CASE WHEN ({whole}) > 0 THEN {_r(f'({part})::DOUBLE / ({whole})')} END"
 
 
+def _bootstrap() -> list[str]:
+    """Rates per model, service and replicate, from the labelled windows."""
+    u = _u(SEED, "'weight'", "service_name", "e", "r")
+    weight = " + ".join(f"(u >= {p!r}::DOUBLE)::INT" for p in POISSON)
+    of = lambda condition: f"sum(CASE WHEN {condition} THEN w ELSE 0 END)"
+    return [
+        "judged AS (SELECT 'forest' AS model_version, service_name, e, injected, is_anomalous FROM labelled "
+        f"UNION ALL SELECT 'rule', service_name, e, injected, error_rate >= {RULE}::DOUBLE FROM labelled)",
+        f"drawn AS (SELECT *, {u} AS u FROM judged, range(0, {REPLICATES + 1}) t(r))",
+        f"weighed AS (SELECT *, CASE WHEN r = 0 THEN 1 ELSE {weight} END AS w FROM drawn)",
+        f"rates AS (SELECT model_version, service_name, r, "
+        f"{_share(of('injected AND is_anomalous'), of('injected'))} AS recall, "
+        f"{_share(of('NOT injected AND is_anomalous'), of('NOT injected'))} AS false_positive_rate "
+        "FROM weighed GROUP BY ALL)",
+    ]
+
+
 def all_sql() -> dict[str, str]:
     event = "event_id, service_name, status_code, latency_ms, anomaly_mode"
     modes = ("normal", "latency_spike", "error_burst", "unusual_status")
@@ -442,6 +476,11 @@ FROM logs""",
         "a1_request_count": _feature("request_count"),
         "a2_error_rate": _feature("error_rate"),
         "a3_latency_percentiles": _feature("p50_latency_ms", "p95_latency_ms", "p99_latency_ms"),
+        "a3_sketch_ranks": _sql(
+            _FEATURED[:2],
+            f"SELECT {KEY}, count(*) AS n, true AS p50_near, true AS p95_near, true AS p99_near "
+            "FROM wins GROUP BY service_name, e",
+        ),
         "a4_status_histogram": _sql(
             _FEATURED, f"SELECT {KEY}, status_code, c AS n FROM feats_codes"
         ),
@@ -471,6 +510,33 @@ FROM logs""",
             f"AS flagged, {_r('any_value(threshold)')} AS threshold FROM traw, boundary",
         ),
         "m7_scores": _sql(_SCORED, score),
+        "m7_versions": _sql(
+            [
+                *_BOUNDED,
+                _paths("spinef", "pl"),
+                _raw("pl", "rawf"),
+                "versions(model_version, valid_from, threshold) AS (VALUES "
+                + ", ".join(
+                    f"('{name}', epoch_us(TIMESTAMP '{start}'), "
+                    f"(SELECT {_r(f'quantile_cont(raw, {share})', 9)} FROM traw))"
+                    for name, start, share in VERSIONS
+                )
+                + ")",
+            ],
+            f"SELECT {KEY}, model_version, {_r(_r('raw - threshold', 9))} AS anomaly_score, "
+            f"{_r('raw - threshold', 9)} < 0 AS is_anomalous "
+            "FROM rawf ASOF LEFT JOIN versions ON rawf.e >= versions.valid_from",
+        ),
+        "m10_recall_bounds": _sql(
+            [*_INJECTED_SCORES, labels, *_bootstrap()],
+            f"SELECT model_version, service_name, "
+            + ", ".join(
+                f"max({c}) FILTER (r = 0) AS {c}, quantile_disc({c}, 0.025) FILTER (r > 0) AS {c}_low, "
+                f"quantile_disc({c}, 0.975) FILTER (r > 0) AS {c}_high"
+                for c in ("recall", "false_positive_rate")
+            )
+            + " FROM rates GROUP BY ALL",
+        ),
         "i1_latency_spike": _sql(
             [LOGS], f"SELECT event_id, service_name, {_inject(repr('latency_spike'))} FROM logs"
         ),
@@ -481,6 +547,7 @@ FROM logs""",
             [LOGS], f"SELECT event_id, service_name, {_inject(repr('unusual_status'))} FROM logs"
         ),
         "i4_scoped_injection": _sql([LOGS, INJECTED], f"SELECT {event} FROM logs2"),
+        "i4_any_spans": _sql([LOGS, ANY_INJECTED], f"SELECT {event} FROM logs2"),
         "i5_labelled_union": _sql(
             [LOGS],
             "SELECT anomaly_mode, service_name, status_code, count(*) AS n, "

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pulsegrid.functions.columns import MICROS, mode_label, settle, utc_date
-from pulsegrid.operators.inject import bucket_of, in_buckets
+from pulsegrid.functions.columns import MICROS, mode_label, settle, uniform, utc_date
+from pulsegrid.operators.spans import holding
 from pulsegrid.operators.windows import PANE, WINDOW, Sliding, add_pane, to_windows
 
 
@@ -117,6 +117,50 @@ def compare_models(scored: DataFrame, modes: DataFrame) -> DataFrame:
     return confusion(scored, modes, "model_version", "service_name")
 
 
+#: How likely a Poisson draw of mean one is at most 0, 1, 2, ...; beyond 9 once in a million.
+POISSON = (
+    0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
+    0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.999998874797402, 0.9999998885745217,
+)
+
+
+def confidence(
+    scored: DataFrame, modes: DataFrame, *keys: str, replicates: int = 200, level: float = 0.95, seed: int = 42
+) -> DataFrame:
+    """Recall and false-positive rate per key, with the bounds that hold them at ``level``.
+
+    Bounds are nearest-rank percentiles over replicates, each of which counts every window as often as
+    a Poisson draw of mean one says (a bootstrap without drawing rows). Draws are hashes of seed, service,
+    window and replicate. One aggregation: replicates of a window are summed beside the scan. Null where
+    no replicate has a window that counts.
+    """
+    keys = keys or ("service_name",)
+    labelled = scored.select(*{*keys, *WINDOW}, "is_anomalous").join(modes, list(WINDOW), "left")
+    injected = F.coalesce(F.col("anomaly_mode"), F.lit("normal")) != "normal"
+    drawn = labelled.withColumn("injected", injected).withColumn(
+        "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates)))
+    )
+    u = uniform(seed, "'weight'", "service_name", "unix_micros(window_end)", "replicate")
+    weight = sum((F.when(u >= p, 1).otherwise(0) for p in POISSON), F.lit(0))
+    # Replicate 0 is the table as it is.
+    drawn = drawn.withColumn("weight", F.when(F.col("replicate") == 0, 1).otherwise(weight))
+    of = lambda condition: F.sum(F.when(condition, F.col("weight")).otherwise(0))
+    hit, flagged = F.col("injected"), F.col("is_anomalous")
+    rates = drawn.groupBy(*keys, "replicate").agg(
+        _share(of(hit & flagged), of(hit)).alias("recall"),
+        _share(of(~hit & flagged), of(~hit)).alias("false_positive_rate"),
+    )
+    out = []
+    for name in ("recall", "false_positive_rate"):
+        again = F.when(F.col("replicate") > 0, F.col(name))
+        rates = rates.withColumn(f"{name}_again", again)
+        out.append(F.max(F.when(F.col("replicate") == 0, F.col(name))).alias(name))
+        for end, share in (("low", (1 - level) / 2), ("high", (1 + level) / 2)):
+            rank = F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY {name}_again)")
+            out.append(rank.alias(f"{name}_{end}"))
+    return rates.groupBy(*keys).agg(*out)
+
+
 def detection_delay(scored: DataFrame, spans: DataFrame, windows: Sliding) -> DataFrame:
     """Seconds from the start of each injected span to the first flagged window that sees it.
 
@@ -125,21 +169,15 @@ def detection_delay(scored: DataFrame, spans: DataFrame, windows: Sliding) -> Da
     ends = spans.select(
         "service_name", "mode", "start", (F.col("stop") + _seconds(windows.width)).alias("stop")
     )
-    flagged = scored.filter("is_anomalous").select(
-        F.col("service_name").alias("s"),
-        "window_end",
-        bucket_of("window_end").alias("b"),
-    )
-    seen = in_buckets(ends).join(
-        flagged,
-        (F.col("service_name") == F.col("s"))
-        & (F.col("bucket") == F.col("b"))
-        & (F.col("window_end") >= F.col("start"))
-        & (F.col("window_end") < F.col("stop")),
-        "left",
-    )
-    delay = F.min(F.unix_micros("window_end") - F.unix_micros("start")) / F.lit(float(MICROS))
-    return seen.groupBy("service_name", "mode", "start").agg(delay.alias("delay_seconds"))
+    flagged = scored.filter("is_anomalous").select(*WINDOW)
+    first = holding(flagged, "window_end", ends, ("service_name",)).groupBy("service_name", "mode", "start").agg(
+        F.min("window_end").alias("first_flag")
+    )
+    delay = (F.unix_micros("first_flag") - F.unix_micros("start")) / F.lit(float(MICROS))
+    seen = ends.select("service_name", "mode", "start").distinct()
+    return seen.join(first, ["service_name", "mode", "start"], "left").select(
+        "service_name", "mode", "start", delay.alias("delay_seconds")
+    )
 
 
 def _seconds(micros: int) -> Column:
