@@ -220,17 +220,19 @@ class Walker:
 
     def __init__(self, forest: Forest, start: int, stop: int) -> None:
         shape = (stop - start, 2 ** (forest.depth + 1))
-        table = forest.nodes.filter((F.col("tree") >= start) & (F.col("tree") < stop)).toPandas()
-        at = (table["tree"].to_numpy() - start, table["node"].to_numpy())
+        mine = forest.nodes.filter((F.col("tree") >= start) & (F.col("tree") < stop))
+        table = mine.select("tree", "node", "feature", "cut", "size").toArrow()
+        tree, node, size = (table[name].to_numpy().astype(np.int64) for name in ("tree", "node", "size"))
+        at = (tree - start, node)
         feature = np.full(shape, -1, dtype=np.int64)
-        feature[at] = table["feature"].fillna(-1).astype("int64")
+        feature[at] = table["feature"].fill_null(-1).to_numpy()
         cuts = np.zeros(shape)
-        cuts[at] = table["cut"].fillna(0.0)
+        cuts[at] = table["cut"].fill_null(0.0).to_numpy()
+        sizes, which = np.unique(size, return_inverse=True)
+        beyond = np.array([average_path(int(n)) for n in sizes])
         length = np.zeros(shape)
-        length[at] = [
-            int(node).bit_length() - 1 + average_path(int(size))
-            for node, size in zip(table["node"], table["size"])
-        ]
+        # The depth of node 1 is 0, of 2 and 3 it is 1, and so on.
+        length[at] = np.frexp(node.astype(float))[1] - 1 + beyond[which]
         self.depth = forest.depth
         self.shared = forest.nodes.sparkSession.sparkContext.broadcast((feature, cuts, length))
 

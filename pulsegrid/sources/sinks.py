@@ -43,9 +43,13 @@ def write_anomalies(scored: DataFrame, path: str, writer: str = "batch", number:
 
 
 def save_forest(forest: Forest, path: str, version: str) -> None:
-    """Store a model beside other versions; its figures go last and mark it complete."""
+    """Store a model beside other versions; its figures go last and mark it complete.
+
+    Files hold FILE_NODES nodes each, about: an ordinary forest is one file, quick to open.
+    """
     spark = forest.nodes.sparkSession
-    forest.nodes.write.mode("overwrite").parquet(f"{path}/forest/model_version={version}")
+    files = max(1, -(-forest.max_nodes // FILE_NODES))
+    forest.nodes.repartition(files).write.mode("overwrite").parquet(f"{path}/forest/model_version={version}")
     params = forest.params
     figures = [
         (
@@ -80,6 +84,8 @@ def load_reconstruction(spark: SparkSession, path: str, version: str) -> Reconst
 _RECONSTRUCTION = (
     "mean array<double>, scale array<double>, components array<array<double>>, offset double"
 )
+_NODES = "tree int, node bigint, size bigint, feature int, cut double"
+FILE_NODES = 1 << 20
 _FIGURES = (
     "trees int, max_sample_size int, contamination double, seed bigint, "
     "sample_size int, offset double"
@@ -88,8 +94,9 @@ _FIGURES = (
 
 def load_forest(spark: SparkSession, path: str, version: str) -> Forest:
     """Load a stored model; a missing version is an error (Spark's own, on the path)."""
-    meta = spark.read.parquet(f"{path}/model_meta/model_version={version}").first()
-    nodes = spark.read.parquet(f"{path}/forest/model_version={version}")
+    # With their types given, neither file is opened before it is read.
+    meta = spark.read.schema(_FIGURES).parquet(f"{path}/model_meta/model_version={version}").first()
+    nodes = spark.read.schema(_NODES).parquet(f"{path}/forest/model_version={version}")
     params = ForestParams(
         meta["trees"], meta["max_sample_size"], meta["contamination"], meta["seed"]
     )
