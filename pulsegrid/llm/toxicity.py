@@ -27,7 +27,7 @@ TRAIN_ORDINARY = 8000
 FOLDS = 4  #: parts of the training documents; each is calibrated with the dictionary of the others
 GRAM = 6  #: bytes of the strings that are counted, at every place of a text
 LEAST_DOCS = 3  #: toxic documents that hold such a string at least
-MOST_GRAMS = 1 << 18  #: strings looked at, those in most toxic documents: what a model can know
+MOST_GRAMS = 1 << 16  #: strings looked at, those in most toxic documents: what a model can know
 CUTS = (2.5, 3.0, 3.5, 4.0, 5.0)  #: standard errors taken off a string's log odds, of which the best is chosen
 CHOICE = 2000  #: training documents that it is chosen on, drawn by hash
 TOXIC_BYTES = 60_000  #: of stretches, the most telling, in the toxic dictionary
@@ -196,9 +196,9 @@ def _gram_counts(texts: DataFrame, among: np.ndarray | None = None) -> DataFrame
 
 def _by_fold(counts: DataFrame, grams: np.ndarray) -> np.ndarray:
     """Documents per fold (rows) and string (columns)."""
-    rows = counts.toPandas()
+    rows = counts.toArrow()
     out = np.zeros((FOLDS, len(grams)))
-    out[rows["fold"], np.searchsorted(grams, rows["gram"])] = rows["docs"]
+    out[rows["fold"].to_numpy(), np.searchsorted(grams, rows["gram"].to_numpy())] = rows["docs"].to_numpy()
     return out
 
 
@@ -211,7 +211,7 @@ def _weights(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts = cut(_gram_counts(toxic))
     often = counts.groupBy("gram").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST_DOCS)
     kept = often.orderBy(F.desc("docs"), "gram").limit(MOST_GRAMS)
-    grams = np.sort(np.array([r["gram"] for r in kept.select("gram").collect()], np.int64))
+    grams = np.sort(kept.select("gram").toArrow()["gram"].to_numpy())
     if not len(grams):
         return grams, np.zeros((len(CUTS) * (FOLDS + 1), 0))
     among = counts.join(F.broadcast(kept.select("gram")), "gram")
@@ -227,7 +227,8 @@ def _weights(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             odds = np.log((x + 0.5) / (size[1, others].sum() + 1)) - np.log((y + 0.5) / (size[0, others].sum() + 1))
             sure = odds - cut_at * np.sqrt(1 / (x + 0.5) + 1 / (y + 0.5))
             out.append(np.where(x >= LEAST_DOCS, np.maximum(sure, 0.0), 0.0))
-    return grams, np.array(out)
+    telling = np.any(out, axis=0)
+    return grams[telling], np.array(out)[:, telling]
 
 
 def stretches(text: bytes, grams: np.ndarray, weight: np.ndarray) -> list[tuple[bytes, float]]:
