@@ -68,3 +68,26 @@ def test_run(spark):
 def test_run_writes_tokens(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(len(r["ids"]) == r["length"] for r in rows)
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, big ids, columns that clash."""
+    big = 1 << 60
+    prose = "the quick brown fox jumps over the lazy dog near the old river bank "
+    rows = [(None, None, None, None, None, None), (big + 1, prose * 3000, "en", "a", 5, {"k": 1}), (big + 1, prose * 3000, "en", "a", 5, {"k": 1}),
+            (big + 2, "", None, "a", None, None), (3, "one other text, unlike all of them here", "en", None, 1, {}), (4, None, "de", "b", 0, None)]
+    schema = "doc_id long, text string, lang string, source string, kept_id int, row map<string,int>"
+    labels = spark.createDataFrame([(3, 0, 1), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.schema.simpleString() == docs.schema.simpleString()
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.columns == docs.columns and empty.count() == 0
+    once = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).select("doc_id", "row").collect()
+    # Documents without words are one group; the row without an id stays beside it.
+    assert sorted((r["doc_id"] or 0) for r in once) == [0, 3, 4, big + 1]
+    pieces = corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {None, big + 1, big + 2, 3, 4}
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), str(tmp_path)).count() == 0
