@@ -41,13 +41,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Tables cut so far, by application.
+_CUTS: dict[str, list[str]] = {}
+
+
+def drop_cuts(spark: SparkSession) -> int:
+    """Delete the tables that this application has cut, and return how many.
+
+    For the end of a job: results that have not been written yet may still read them.
+    """
+    paths = _CUTS.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and go on from that table.
 
     Used where several later jobs read the same rows (training set, node table, scores), so
     that neither the second reader nor a lost executor repeats the work before it. A written
-    table also tells the optimizer its true size.
+    table also tells the optimizer its true size. The table belongs to the application, which may
+    remove all of them with :func:`drop_cuts`.
     """
     path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    _CUTS.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from logs import log_table
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import inject as inj
 from pulsegrid.operators.windows import Sliding
+from pulsegrid import session
 from pulsegrid.plans import reports
 from pulsegrid.sources import events as ev, ledger, sinks
 from pulsegrid.sources.schema import LOG_EVENT
@@ -275,3 +277,10 @@ def test_alert_edges_across_gaps_and_days(spark):
     )
     edges = reports.alert_edges(scored)
     assert sorted(r[0] for r in edges.select(F.unix_seconds("window_end")).collect()) == [0, 86_400 * 5]
+
+
+def test_cut_tables_can_be_dropped(spark):
+    table = session.cut(spark.range(5))
+    (path,) = {r[0].rsplit("/", 1)[0] for r in table.select(F.input_file_name()).collect()}
+    assert session.drop_cuts(spark) >= 1 and session.drop_cuts(spark) == 0
+    assert not os.path.exists(path.removeprefix("file://"))
