@@ -25,7 +25,7 @@ from pulsegrid.session import cut, prepare, shared_dir
 from pulsegrid.sources import events as ev, ledger, sinks
 from pulsegrid.sources.adapter import as_log_events, read_logs
 from pulsegrid.sources.schema import EVENTS_TABLE
-from pulsegrid.streaming import live, running
+from pulsegrid.streaming import alerts, live, running
 
 WINDOWS = wn.Sliding(6 * 3600, 2 * 3600)
 SHORT_WINDOWS = wn.Sliding(1800, 600)
@@ -558,6 +558,16 @@ def d4_alert_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(reports.alert_edges(cut(scored_of(spark, sf_dir))))
 
 
+def d4_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream of scored windows that stopped in the middle of the month and went on."""
+    scored = cut(scored_of(spark, sf_dir)).select(*wn.WINDOW, "anomaly_score", "is_anomalous")
+    files, path, middle = fresh_path(spark, "files"), fresh_path(spark, "alerts"), utc_stamp(STOPPED_AT)
+    for rows in (scored.filter(F.col("window_end") < middle), scored.filter(F.col("window_end") >= middle)):
+        rows.coalesce(1).write.mode("append").parquet(files)
+        alerts.run_alerts(live.stream_table(spark, files, scored.schema), path).awaitTermination()
+    return plain(spark.read.parquet(f"{path}/alerts"))
+
+
 def d5_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.region_rollup(read_logs(spark, sf_dir)))
 
@@ -640,6 +650,7 @@ def all_queries() -> dict[str, Query]:
         "d2_latency_panel": d2_latency_panel,
         "d3_score_panel": d3_score_panel,
         "d4_alert_edges": d4_alert_edges,
+        "d4_stream_alerts": d4_stream_alerts,
         "d5_region_rollup": d5_region_rollup,
         "d6_detection_delay": d6_detection_delay,
         "d7_confusion": d7_confusion,

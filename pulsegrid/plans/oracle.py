@@ -580,6 +580,15 @@ FROM logs""",
             f"SELECT {KEY}, anomaly_score FROM lagged "
             "WHERE is_anomalous AND NOT coalesce(before, false)",
         ),
+        "d4_stream_alerts": _sql(
+            [
+                *_SCORED,
+                "lagged AS (SELECT *, lag(is_anomalous) OVER (PARTITION BY service_name "
+                "ORDER BY e) AS before FROM sc)",
+            ],
+            f"SELECT {KEY}, anomaly_score FROM lagged "
+            "WHERE is_anomalous AND NOT coalesce(before, false)",
+        ),
         "d5_region_rollup": _sql(
             [LOGS],
             "SELECT region, service_name, count(*) AS requests, "
