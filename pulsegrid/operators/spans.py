@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pulsegrid.session import cut
+
 UNIT_BITS = 20  #: a unit is so many bits of a microsecond stamp: about a second
 RADIX_BITS = 4
 LEVELS = 11  #: that reach over all stamps
@@ -56,7 +58,7 @@ def _levels(covered: DataFrame) -> list[int]:
 
 def holding(points: DataFrame, at: str, spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Points once per span of the same ``keys`` that holds them, with the span's other columns."""
-    covered = cover(spans)
+    covered = cut(cover(spans))
     micros = F.unix_micros(at)
     own = F.explode(F.array(*[
         F.struct(F.lit(x).alias("level"), _unit(micros, x).alias("node")) for x in _levels(covered) or [0]
@@ -89,7 +91,7 @@ def lookup(points: DataFrame, at: str, apart: DataFrame, keys: tuple[str, ...])
     ``apart`` are spans that do not overlap (see :func:`disjoint`). One join per level in use, at most
     LEVELS, so that no point is multiplied.
     """
-    covered = cover(apart)
+    covered = cut(cover(apart))  # read once per level
     kept = [c for c in apart.columns if c not in (*keys, "start", "stop")]
     out, found = points, []
     for level in _levels(covered):
