@@ -65,6 +65,36 @@ def test_ties_go_to_smaller_ids(spark):
         assert [i for _, i in mine] == [i for i in range(60) if i != query][:10]
 
 
+def test_queries_visit_few_cells_of_crowds(spark, monkeypatch):
+    """Forty crowds, one of which holds a third: few cells are visited, and the neighbours are all there."""
+    monkeypatch.setattr(hnsw, "QUERIES", 50)
+    rng = np.random.default_rng(8)
+    centres = 20 * rng.normal(size=(40, 8))
+    of = np.where(rng.random(3000) < 1 / 3, 0, rng.integers(0, 40, 3000))
+    rows = centres[of] + rng.normal(size=(3000, 8))
+    rows[::7] = rows[0]  # equal vectors by the hundred
+    ids = [2**60 + i for i in range(3000)]
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, rows)], "vec_id long, embedding array<double>")
+    asked = frame.filter("vec_id % 10 = 0")
+    _, placed, router, dim = hnsw.build_index(hnsw.usable(frame, "vec_id", "embedding"), 100)
+    assert len(router.centres) == 30 and router.sizes.sum() == 3000
+    queries_ = hnsw.usable(asked, "vec_id", "embedding").toDF("query_id", "query")
+    assert hnsw._probes(router, placed, queries_, queries_.count(), dim, 10) <= 10
+    got = hnsw.nearest(frame, asked, shard=100).collect()
+    want = nearest_by_hand(ids, rows, [i for i in ids if i % 10 == 0], 10)
+    assert len(got) == 10 * len(want)
+    hits = sum(abs(r["score"] - want[r["query_id"]][r["rank"] - 1][0]) < 1e-9 for r in got)
+    assert hits >= 0.97 * len(got)
+
+
+def test_cells_with_too_few_rows_are_not_enough(spark):
+    """A lone vector's cell holds no other: more cells are visited until there are enough rows."""
+    rows = [(i, [float(i % 10), 0.1 * (i // 10)]) for i in range(100)] + [(1000, [500.0, 500.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hnsw.nearest(frame, frame.filter("vec_id = 1000"), shard=20).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 11))
+
+
 def test_every_node_is_reached():
     vecs = np.eye(300)
     graph = hnsw.Graph.build(vecs, hnsw._levels(np.arange(300)))
