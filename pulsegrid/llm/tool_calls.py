@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pulsegrid.session import cut
 
 KEY = ["conv_id", "call_id"]
-BUCKET = 1000  #: turns of a conversation ranked by one task
+BUCKET = 1000  #: turns of a conversation, and levels of calls, that are ranked by one task
+HASH = "shuffle_hash"  #: joins by identifier build a hash table per partition of the side named
 CALL_SHAPE = "tool_calls array<struct<id: string, name: string, arguments: string, after: array<string>>>"
 RESULT_SHAPE = "tool_call_id string, content string"
 
@@ -63,7 +64,7 @@ def turn_pairs(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain = turns.filter("turn IS NOT NULL")
     asked = plain.filter("role = 'user'")
     before = asked.select("conv_id", (turn + 2).alias("turn"), name(turn).alias("earlier")).distinct()
-    calls = asked.join(before, ["conv_id", "turn"], "left").select(
+    calls = asked.join(before.hint(HASH), ["conv_id", "turn"], "left").select(
         "conv_id", "turn", name(turn).alias("call_id"), F.lit("reply").alias("name"),
         F.to_json(F.struct(text.alias("request"))).alias("arguments"),
         F.filter(F.array("earlier"), lambda x: x.isNotNull()).alias("after"),
@@ -125,7 +126,7 @@ def _roots(single: DataFrame) -> DataFrame:
             "conv_id", F.col("call_id").alias("root"), F.col("root").alias("higher"),
             F.col("steps").alias("more"),
         )
-        moved = current.join(above, ["conv_id", "root"], "left").select(
+        moved = current.join(above.hint(HASH), ["conv_id", "root"], "left").select(
             *KEY,
             F.coalesce("higher", "root").alias("root"),
             (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
@@ -148,16 +149,16 @@ def levels(calls: DataFrame) -> DataFrame:
     ids = calls.select(*KEY)
     needs = cut(
         calls.select(*KEY, F.explode(F.array_distinct("after")).alias("need")).join(
-            ids.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi"
+            ids.select("conv_id", F.col("call_id").alias("need")).hint(HASH), ["conv_id", "need"], "left_semi"
         )
     )
     degrees = needs.groupBy(*KEY).agg(F.count("*").alias("degree"))
-    chains = cut(_roots(needs.join(degrees.filter("degree = 1"), KEY, "left_semi")))
-    known = ids.join(needs, KEY, "left_anti").withColumn("level", F.lit(0))
+    chains = cut(_roots(needs.join(degrees.filter("degree = 1").hint(HASH), KEY, "left_semi")))
+    known = ids.join(needs.hint(HASH), KEY, "left_anti").withColumn("level", F.lit(0))
     up = chains.select("conv_id", F.col("call_id").alias("need"), "root", "steps")
     open_needs = cut(
-        needs.join(degrees.filter("degree > 1"), KEY, "left_semi")
-        .join(up, ["conv_id", "need"], "left")
+        needs.join(degrees.filter("degree > 1").hint(HASH), KEY, "left_semi")
+        .join(up.hint(HASH), ["conv_id", "need"], "left")
         .select(*KEY, F.coalesce("root", "need").alias("root"), F.coalesce("steps", F.lit(0)).alias("steps"),
                 F.lit(None).cast("int").alias("level"))
     )
@@ -165,7 +166,7 @@ def levels(calls: DataFrame) -> DataFrame:
     while not open_needs.isEmpty():
         new = ready.select("conv_id", F.col("call_id").alias("root"), F.col("level").alias("found"))
         open_needs = cut(
-            open_needs.join(new, ["conv_id", "root"], "left").select(
+            open_needs.join(new.hint(HASH), ["conv_id", "root"], "left").select(
                 *KEY, "root", "steps", F.coalesce("level", "found").alias("level")
             )
         )
@@ -177,17 +178,46 @@ def levels(calls: DataFrame) -> DataFrame:
         if ready.isEmpty():
             break
         roots.append(ready)
-        open_needs = cut(open_needs.join(ready, KEY, "left_anti"))
+        open_needs = cut(open_needs.join(ready.hint(HASH), KEY, "left_anti"))
     top = roots[0]
     for rows in roots[1:]:
         top = top.unionByName(rows)
     starts = top.select("conv_id", F.col("call_id").alias("root"), F.col("level").alias("start"))
-    below = chains.join(starts, ["conv_id", "root"]).select(
+    below = chains.join(starts.hint(HASH), ["conv_id", "root"]).select(
         *KEY, (F.col("start") + F.col("steps")).alias("level")
     )
     return top.unionByName(below)
 
 
+def _starts(sizes: DataFrame) -> DataFrame:
+    """``(conv_id, level, bucket, start)``: calls of a conversation before those of each row of ``sizes``.
+
+    Levels are summed by BUCKET first, and blocks of levels by as many blocks again: a chain of a billion
+    calls gives no task more than a thousand blocks of blocks.
+    """
+    before = lambda *by: Window.partitionBy("conv_id", *by[:-1]).orderBy(*by[-1]).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    blocks = sizes.withColumn("block", F.floor(F.col("level") / BUCKET)).withColumn(
+        "part", F.floor(F.col("level") / BUCKET**2)
+    )
+    total = F.sum("size").alias("size")
+    parts = blocks.groupBy("conv_id", "part").agg(total)
+    whole = parts.withColumn("parts_before", F.sum("size").over(before(["part"]))).drop("size")
+    inner = blocks.groupBy("conv_id", "part", "block").agg(total)
+    inside = inner.withColumn("blocks_before", F.sum("size").over(before("part", ["block"]))).drop("size")
+    within = blocks.withColumn("rows_before", F.sum("size").over(before("block", ["level", "bucket"])))
+    none = lambda name: F.coalesce(name, F.lit(0))
+    return (
+        within.join(inside.hint(HASH), ["conv_id", "part", "block"])
+        .join(whole.hint(HASH), ["conv_id", "part"])
+        .select(
+            "conv_id", "level", "bucket",
+            (none("parts_before") + none("blocks_before") + none("rows_before")).alias("start"),
+        )
+    )
+
+
 def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     """A row per call: conv_id, call_id, turn, level, position, status, faults, n_results, message.
 
@@ -198,6 +228,9 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     count once. ``position`` numbers a conversation's calls from 1 so that each stands after those
     it needs, by level, turn and identifier; it is null, as the level, on a cycle.
 
+    Joins by identifier are hash joins of both sides' shuffled partitions. Arguments beyond the size that a
+    variant can hold (some 128 MB) count as no JSON.
+
     status, the first that fits: ``cycle``, ``invalid`` (arguments against ``tools``, see faults),
     ``no result``, ``unmet`` (needs a call that is not there) or ``ok``. ``message`` is JSON without
     blanks and with sorted keys; arguments that are no JSON are null, null fields are left out.
@@ -216,7 +249,7 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     )
     needs = one.select(*KEY, F.explode("after").alias("need"))
     unmet = (
-        needs.join(one.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_anti")
+        needs.join(one.select("conv_id", F.col("call_id").alias("need")).hint(HASH), ["conv_id", "need"], "left_anti")
         .select(*KEY)
         .distinct()
         .withColumn("unmet", F.lit(True))
@@ -233,7 +266,9 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
         .drop("types", "needed", "tool", "given")
     )
     linked = (
-        checked.join(levels(one), KEY, "left").join(answered, KEY, "left").join(unmet, KEY, "left")
+        checked.join(levels(one).hint(HASH), KEY, "left")
+        .join(answered.hint(HASH), KEY, "left")
+        .join(unmet.hint(HASH), KEY, "left")
     )
     status = (
         F.when(F.col("level").isNull(), "cycle")
@@ -259,11 +294,9 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     within = Window.partitionBy("conv_id", "level", "bucket").orderBy("turn", "call_id")
     place = ["conv_id", "level", "bucket"]
     sizes = rows.filter("level IS NOT NULL").groupBy(*place).agg(F.count("*").alias("size"))
-    so_far = Window.partitionBy("conv_id").orderBy("level", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(so_far), F.lit(0))).drop("size")
     return (
         rows.withColumn("rank", F.row_number().over(within))
-        .join(starts, place, "left")
+        .join(_starts(sizes).hint(HASH), place, "left")
         .select(*KEY, "turn", "level", (F.col("start") + F.col("rank")).alias("position"), "status",
                 F.concat_ws(",", "faults").alias("faults"), "n_results", "message")
     )

@@ -98,8 +98,21 @@ def test_empty(spark, calls):
 
 
 def test_native(spark):
-    """No Python, pandas or Arrow step in the plan."""
+    """No Python, pandas or Arrow step in the plan; joins by identifier are hash joins."""
     turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     calls, results = tc.turn_pairs(turns)
-    plan = tc.link(calls, results, tc.schemas_table(spark, TOOLS))._jdf.queryExecution().toString()
-    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+    for made in (tc.link(calls, results, tc.schemas_table(spark, TOOLS)), queries.op10_tool_calls(spark, "/root/testdata/sf0.001")):
+        plan = made._jdf.queryExecution().toString()
+        assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_positions_over_blocks_of_levels(spark, monkeypatch):
+    """A chain that spans blocks, and blocks of blocks, of levels, beside calls that need none."""
+    monkeypatch.setattr(tc, "BUCKET", 3)
+    calls = [(1, 2 * i, f"n{i:03}", "find", '{"text": "t"}', [f"n{i - 1:03}"] if i else []) for i in range(50)]
+    calls += [(1, 1000 - i, f"f{i}", "find", '{"text": "t"}', []) for i in range(20)]
+    calls += [(1, 2000 + i, f"g{i}", "find", '{"text": "t"}', ["n010"]) for i in range(7)]
+    got, _ = link(spark, calls, [])
+    order = sorted(got.values(), key=lambda r: (r["level"], r["turn"], r["call_id"]))
+    assert [r["position"] for r in order] == list(range(1, len(calls) + 1))
