@@ -27,6 +27,7 @@ BLOCK = 1024  #: vectors a task compares with as many others
 PAIRS = 1 << 16  #: pairs reranked at once
 SLACK = 1e-6  #: more than rounding can change in the terms of a probe
 VISITORS = 256  #: vectors whose visits are made at once: each may visit every list
+DISTANCES = 1 << 22  #: distances held at once while centres are fitted
 
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
@@ -63,11 +64,18 @@ def squared(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(far, 0)
 
 
+def nearest_centre(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each row, DISTANCES at a time."""
+    step = max(1, DISTANCES // len(centres))
+    parts = [squared(rows[i : i + step], centres).argmin(axis=1) for i in range(0, len(rows), step)]
+    return np.concatenate(parts or [np.zeros(0, np.int64)])
+
+
 def kmeans(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """At most ``k`` centres of the rows, the first rows at the start; empty ones stay."""
     centres = rows[:k].copy()
     for _ in range(rounds):
-        near = squared(rows, centres).argmin(axis=1)
+        near = nearest_centre(rows, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, rows)
         size = np.bincount(near, minlength=len(centres))
@@ -80,7 +88,7 @@ class Quantiser:
 
     def __init__(self, sample: np.ndarray, lists: int) -> None:
         self.centres = kmeans(sample, lists)
-        residual = sample - self.centres[squared(sample, self.centres).argmin(axis=1)]
+        residual = sample - self.centres[nearest_centre(sample, self.centres)]
         self.parts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.books = [kmeans(np.ascontiguousarray(residual[:, p]), CODES) for p in self.parts]
 
@@ -93,16 +101,19 @@ class Quantiser:
             residual[:, p] -= book[codes[:, m]]
         return codes, np.linalg.norm(residual, axis=1)
 
-    def probes(self, rows: np.ndarray, home: np.ndarray, far: np.ndarray, reach: float) -> np.ndarray:
+    def between(self) -> np.ndarray:
+        """Distances of all centres to each other: at most MAX_LISTS squared, made once by a task."""
+        return np.sqrt(squared(self.centres, self.centres))
+
+    def probes(self, between: np.ndarray, home: np.ndarray, far: np.ndarray, reach: float) -> np.ndarray:
         """Which lists' halves a ball of radius ``reach`` round each row touches.
 
         A list's members are nearer to its centre than to the row's own: they lie beyond the
         plane midway, whose distance from the row is compared with ``reach`` (and SLACK, as the
         rounding of a distance must not hide a list).
         """
-        apart = np.sqrt(squared(self.centres, self.centres))[home]
-        own = far[np.arange(len(rows)), home][:, None]
-        return far - own <= 2 * apart * reach + SLACK
+        own = far[np.arange(len(far)), home][:, None]
+        return far - own <= 2 * between[home] * reach + SLACK
 
     def lookup(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Distances of all queries to the coded members of a list, summed from tables."""
@@ -127,6 +138,7 @@ def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
     step = min(VISITORS, max(1, (1 << 22) // len(quantiser.centres)))
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between = quantiser.between()
         for frame in frames:
             for i in range(0, len(frame), step):
                 part = frame.iloc[i : i + step]
@@ -135,7 +147,7 @@ def _visits(quantiser: Quantiser, dim: int, reach: float, number: str):
                 rows = unit(whole)
                 far = squared(rows, quantiser.centres)
                 home = far.argmin(axis=1)
-                near = quantiser.probes(rows, home, far, reach)
+                near = quantiser.probes(between, home, far, reach)
                 near[np.arange(len(rows)), home] = True
                 row, cell = near.nonzero()
                 others = [x.nonzero()[0].astype("<i4").tobytes() for x in near]
