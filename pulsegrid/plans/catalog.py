@@ -16,10 +16,11 @@ from pulsegrid.functions.columns import (
     mode_label,
     settle,
     timestamp_to_epoch,
+    utc_date,
     utc_stamp,
 )
-from pulsegrid.operators import features as ft, forest as fo, inject as inj, reconstruct as rec
-from pulsegrid.operators import sketches as sk, windows as wn
+from pulsegrid.operators import boundary as bd, features as ft, forest as fo, inject as inj
+from pulsegrid.operators import reconstruct as rec, sketches as sk, windows as wn
 from pulsegrid.plans import reports, scorers, training
 from pulsegrid.session import cut, prepare, shared_dir
 from pulsegrid.sources import events as ev, ledger, sinks
@@ -48,6 +49,7 @@ ANY_SPANS = (
 #: Model versions, the time each holds from, and the share its boundary flags.
 VERSIONS = (("v1", "2024-01-05 00:00:00", 0.05), ("v2", "2024-01-16 00:00:00", 0.1))
 REPLICATES = 100
+DRIFT_SIGMAS = 1.0  #: few enough for some days of the tables to have drifted
 RULE = 0.25  #: error rate from which the plain rule flags a window
 LATE_BEFORE = "2024-01-10 00:00:00"
 STOPPED_AT = "2024-01-15 09:30:00"
@@ -457,6 +459,15 @@ def m6_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def m6_live_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundaries that follow the scores of injected events, and the windows they flag on their days."""
+    scored = cut(injected_scores(spark, sf_dir)[0])
+    share, overlap = fo.ForestParams().contamination, WINDOWS.width / WINDOWS.slide
+    found = cut(bd.live_boundaries(bd.score_cells(scored), share, sigmas=DRIFT_SIGMAS, overlap=overlap))
+    judged = bd.judge(scored, found).groupBy("service_name", utc_date(F.col("window_end")).alias("date"))
+    return found.join(judged.agg(F.count_if("is_anomalous_live").alias("flagged_live")), bd.DAY)
+
+
 def m7_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scored_of(spark, sf_dir)
     return plain(scored.select(*wn.WINDOW, "anomaly_score", "is_anomalous"))
@@ -634,6 +645,7 @@ def all_queries() -> dict[str, Query]:
         "m3_forest_nodes": m3_forest_nodes,
         "m5_path_length": m5_path_length,
         "m6_threshold": m6_threshold,
+        "m6_live_boundary": m6_live_boundary,
         "m7_scores": m7_scores,
         "m7_versions": m7_versions,
         "m8_same_seed": m8_same_seed,

@@ -6,6 +6,7 @@ event, percentiles from sorted lists, trees from one step per level.
 
 from __future__ import annotations
 
+from pulsegrid.operators.boundary import CELLS, DAYS
 from pulsegrid.operators.features import FEATURES
 from pulsegrid.operators.forest import EULER_GAMMA, ForestParams, height_limit
 from pulsegrid.operators.inject import BURST_CODES, UNUSUAL_CODES
@@ -13,6 +14,7 @@ from pulsegrid.operators.windows import Sliding
 from pulsegrid.plans.catalog import (
     ANY_SPANS,
     DELAY_SECONDS,
+    DRIFT_SIGMAS,
     GAP,
     LATE_BEFORE,
     RANGE,
@@ -304,6 +306,29 @@ KEY = "service_name, make_timestamp(e) AS window_end"
 ROUNDED = ", ".join(f"{_r(c)} AS {c}" for c in FEATURES)
 
 
+def _live_boundaries() -> list[str]:
+    """Boundaries of each day from the scores of the days before."""
+    share = PARAMS.contamination
+    by_day = "PARTITION BY service_name, date"
+    error = f"sqrt(windows * {share * (1 - share) * (W / S)!r}::DOUBLE)"
+    drift = _r(f"(flagged - windows * {share}::DOUBLE) / {error}")
+    return [
+        "sd AS (SELECT service_name, make_timestamp(e)::DATE AS date, anomaly_score, "
+        f"floor(anomaly_score * {CELLS})::INTEGER AS cell FROM sc2)",
+        "cells AS (SELECT service_name, date, cell, count(*) AS n FROM sd GROUP BY ALL)",
+        "tr AS (SELECT d.service_name, d.date, c.cell, sum(c.n) AS n "
+        "FROM (SELECT DISTINCT service_name, date FROM cells) d JOIN cells c "
+        f"ON c.service_name = d.service_name AND c.date < d.date AND c.date >= d.date - {DAYS} GROUP BY ALL)",
+        f"cum AS (SELECT *, sum(n) OVER ({by_day} ORDER BY cell) AS upto, sum(n) OVER ({by_day}) AS windows FROM tr)",
+        "lb AS (SELECT service_name, date, max(windows)::BIGINT AS windows, "
+        "coalesce(sum(n) FILTER (cell < 0), 0)::BIGINT AS flagged, "
+        f"min(cell) FILTER (upto > windows * {share}::DOUBLE) AS edge FROM cum GROUP BY service_name, date)",
+        f"dr AS (SELECT *, {drift} AS drift FROM lb)",
+        f"bo AS (SELECT *, abs(drift) > {DRIFT_SIGMAS} AS drifted, CASE WHEN abs(drift) > {DRIFT_SIGMAS} "
+        f"THEN edge / {CELLS}::DOUBLE ELSE 0::DOUBLE END AS boundary FROM dr)",
+    ]
+
+
 def _sql(parts: list[str], select: str) -> str:
     return f"WITH {',\n'.join(parts)}\n{select}"
 
@@ -509,6 +534,12 @@ FROM logs""",
             f"SELECT count(*) AS windows, count(*) FILTER ({_r('raw - threshold', 9)} < 0) "
             f"AS flagged, {_r('any_value(threshold)')} AS threshold FROM traw, boundary",
         ),
+        "m6_live_boundary": _sql(
+            [*_INJECTED_SCORES, *_live_boundaries()],
+            "SELECT service_name, date, windows, flagged, drift, drifted, boundary, "
+            "count(*) FILTER (anomaly_score < boundary) AS flagged_live "
+            "FROM bo JOIN sd USING (service_name, date) GROUP BY ALL",
+        ),
         "m7_scores": _sql(_SCORED, score),
         "m7_versions": _sql(
             [
